@@ -12,20 +12,30 @@ random register, a register keeps its earliest point, and a shingle stops as soo
 as its next point is later than the latest register. Registers agree with
 probability J_P.
 
+A pair is a link if its J_P, or the ordinary Jaccard similarity of its shingle sets,
+reaches the threshold.
+
 Plan, in order of size:
 
 1. one pass over the texts: a 128-bit digest of the normalised words, and band keys;
 2. exact classes: rows with equal digests collapse before anything is compared
    (partial aggregation, so thousands of copies send one row a task);
 3. bands of the class representatives meet in buckets. A bucket is never expanded
-   into all its pairs: its members are verified against one anchor, components are
-   formed, and only buckets that still hold several components go on, with another
-   anchor. What is left after ``anchor_rounds`` is finished exactly: every pair of
-   a bucket whose members are still in different components is verified;
-4. verification computes J_P from both whole texts.
-
-Near-copies thus cost their number times the bands, not its square, and no link
-between different components of a bucket goes untested.
+   into all its pairs. Its members are verified against one anchor, first the member
+   that shares most buckets with others (in a family of copies that is one close to
+   the original), then another one; connected components are formed after each
+   round, and only buckets that still hold several components go on;
+4. buckets of at most ``small`` members are finished by their remaining pairs, which
+   is linear in the members;
+5. larger ones are finished without enumerating them, through the differences of
+   their members from the anchor (see ``_differences``): members that are alike but
+   not both linked to the anchor must share many of the shingles in which they differ
+   from it, so they meet in an equi-join on a short prefix of those;
+6. verification computes the similarity from both whole texts.
+
+Families of near-copies thus cost their members times the bands, not their square.
+Steps 4 and 5 lose no link: step 5 finds every pair of a bucket with Jaccard
+similarity at the threshold or above.
 
 Defined results: null text counts as empty. Texts without a word have one class for
 each distinct text. Texts with fewer words than a shingle are one shingle. A class
@@ -56,7 +66,8 @@ class NearParams:
     similarity: float = 0.8
     registers: int = 160
     band: int = 5  # registers a band; at 0.8 a pair shares no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6
-    anchor_rounds: int = 3
+    anchor_rounds: int = 2
+    small: int = 8
     seed: int = 7
 
     @property
@@ -172,121 +183,206 @@ def _sketch(params: NearParams):
                 bands = band_keys(signatures(sets, params.registers, params.seed), params.band)
                 keys += [row.tolist() if len(s[0]) else [] for row, s in zip(bands, sets, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "digest", "bands"],
+                [batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "raw", "digest", "bands"],
             )
 
     return run
 
 
-def _verify(params: NearParams):
+def similarity(a: tuple, b: tuple) -> float:
+    """The larger of J_P and the Jaccard similarity of the shingle sets."""
+    both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    plain = both / max(1, len(a[0]) + len(b[0]) - both)
+    if a[1].max(initial=1) == 1 and b[1].max(initial=1) == 1 and len(a[0]) and len(b[0]):
+        return plain  # equal weights: the two are the same
+    return max(plain, probability_jaccard(a, b))
+
+
+def _pairs(params: NearParams, row, names, kinds):
+    """Run ``row(a, b, shingles of a, shingles of b)`` on pairs with texts; the anchor's shingles are kept between rows."""
+
     def run(batches):
         last, anchor = None, None
         for batch in batches:
-            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
-            sims = []
+            a, b, ta, tb, *more = (column.to_pylist() for column in batch.columns)
+            out = []
             for i in range(len(a)):
                 if a[i] != last:
                     last, anchor = a[i], shingles(words_of(ta[i]), params.words)
-                sims.append(probability_jaccard(anchor, shingles(words_of(tb[i]), params.words)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sims, pa.float64())], names=["a", "b", "similarity"]
-            )
+                out += row(a[i], b[i], anchor, shingles(words_of(tb[i]), params.words), *(m[i] for m in more))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return run
 
 
-def _member_texts(rows: DataFrame, members: DataFrame, kind: str) -> DataFrame:
-    """``digest, text``, one row for each class in ``members``, from the row that names the class."""
-    wanted = members.select(F.col("class_id").alias("id_"), F.col("digest").alias("want"))
-    met = rows.join(wanted, F.col("id").eqNullSafe(F.col("id_"))).select("text", "want")
+def _verify(params: NearParams):
+    def row(a, b, x, y):
+        s = similarity(x, y)
+        return [(a, b, s)] if s >= params.similarity else []
 
-    def own(batches):  # an id may stand on several texts; only the one with the digest is meant
-        for batch in batches:
-            keep = [
-                _digest(t or "", words_of(t)) == d
-                for t, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            ]
-            out = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([out.column(1), out.column(0)], names=["digest", "text"])
+    return _pairs(params, row, ["a", "b", "similarity"], [pa.binary(), pa.binary(), pa.float64()])
+
+
+DIFFERENCES = "a binary, b binary, label binary, role tinyint, token bigint, at int, size int, words int"
+#: Roles of a difference shingle: of a member linked to the anchor, of one that is not, and of one against its like.
+LINKED, OTHER, OTHERS = 0, 1, 2
+
+
+def difference_prefixes(p: np.ndarray, x: np.ndarray, threshold: float) -> tuple[int, list[tuple[int, np.ndarray]]]:
+    """How many shingles differ, and (role, shingles) under which a member x of the anchor p's buckets is filed.
 
-    return met.mapInArrow(own, "digest binary, text string").dropDuplicates(["digest"])
+    Let t be the threshold, c = (1 - t) / (1 + t), and Dx the shingles in exactly one of
+    p and x. Jaccard(x, y) >= t means |Dx ^ Dy| <= c (|x| + |y|), so x and y share
+
+        s >= (|Dx| + |Dy| - c (|x| + |y|)) / 2
+
+    of their differences. If y is not linked to p, |Dy| > c (|y| + |p|), hence
+    s > (|Dx| + c (|p| - |x|)) / 2; and if neither is, s > c |p|. From y's side, as
+    s <= |Dx| and |x| <= |y| / t, s >= |Dy| - c |y| (1 + 1 / t). Two sets that share s
+    elements share one among the first (size - s + 1) of each in any common order; here
+    shingles that p lacks come first, since few members have them.
+    """
+    c = (1 - threshold) / (1 + threshold)
+    extra, missing = np.setdiff1d(x, p, assume_unique=True), np.setdiff1d(p, x, assume_unique=True)
+    order = np.concatenate([extra, _mix(missing)])  # mixed: a missing shingle is not the same as an extra one
+    size = len(order)
+    if size <= c * (len(x) + len(p)) + 1e-9:
+        least = int(np.floor((size + c * (len(p) - len(x))) / 2 - 1e-9)) + 1
+        return size, [(LINKED, order[: max(0, size - max(1, least) + 1)])]
+    own = int(np.ceil(size - c * len(x) * (1 + 1 / threshold) - 1e-9))
+    like = max(own, int(np.floor(c * len(p) - 1e-9)) + 1)
+    return size, [(OTHER, order[: max(0, size - max(1, own) + 1)]), (OTHERS, order[: max(0, size - max(1, like) + 1)])]
+
+
+def _differences(params: NearParams):
+    def row(a, b, x, y, label):
+        size, found = difference_prefixes(x[0], y[0], params.similarity)
+        return [
+            (a, b, label, role, t, at, size, len(y[0]))
+            for role, tokens in found
+            for at, t in enumerate(tokens.view(np.int64).tolist())
+        ]
+
+    kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    return _pairs(params, row, ["a", "b", "label", "role", "token", "at", "size", "words"], kinds)
+
+
+def _may_share_enough(threshold: float) -> str:
+    """Whether a meeting at positions ``at`` and ``yat`` can be the first of as many as the pair must share.
+
+    The differences of x and y share no more than one here and what is left after it on
+    either side; they must share (size + ysize - c (words + ywords)) / 2.
+    """
+    c = (1 - threshold) / (1 + threshold)
+    return f"2 * least(size - at, ysize - yat) >= size + ysize - {c!r}D * (words + ywords) - 1e-9D"
 
 
 def near_duplicates(
     docs: DataFrame, params: NearParams = NearParams(), *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``id, digest, class_id, group_id, group, copies, links`` for every row.
+    """``id, raw, digest, class_id, group_id, group, copies, links`` for every row.
 
     ``class_id`` is the least id among rows with the same normalised words,
     ``group_id`` the least id of the connected group of near-duplicate classes,
-    ``group`` the group's own digest (ids may repeat), ``copies`` the rows of the class, ``links`` the verified links of the class.
+    ``group`` the group's own digest (ids may repeat), ``copies`` the rows of the class,
+    ``links`` the verified links of the class, ``raw`` a hash of the row's text.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    scratch = Scratch(docs.sparkSession, "near")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("raw"))
     kind = rows.schema["id"].dataType.simpleString()
-    sketched = scratch.save(rows.mapInArrow(_sketch(params), f"id {kind}, digest binary, bands array<bigint>"))
+    sketched = scratch.save(rows.mapInArrow(_sketch(params), f"id {kind}, raw bigint, digest binary, bands array<bigint>"))
     # Equal digests have equal bands, so any row's will do; copies collapse before the exchange.
+    # Null ids come last, so that a class is named by an id if it has one.
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "raw")).alias("first")
     classes = scratch.save(
-        sketched.groupBy("digest").agg(
-            F.min("id").alias("class_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")
-        )
+        sketched.groupBy("digest")
+        .agg(first, F.count("*").alias("copies"), F.first("bands").alias("bands"))
+        .select("digest", F.col("first.id").alias("class_id"), F.col("first.raw").alias("raw"), "copies", "bands")
     )
     keys = classes.select("digest", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = scratch.save(keys.join(shared, "key", "left_semi"))
-    texts = scratch.save(_member_texts(rows, classes.join(buckets, "digest", "left_semi"), kind))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = scratch.save(keys.join(shared, "key"))
+    # How many meetings a class has: in a family of copies most for those close to the original.
+    central = scratch.save(buckets.groupBy("digest").agg(F.sum("n").alias("met")))
+    wanted = classes.join(central, "digest", "left_semi").select(F.col("class_id").alias("id_"), F.col("raw").alias("raw_"), "digest")
+    texts = scratch.save(
+        rows.join(wanted, F.col("id").eqNullSafe(F.col("id_")) & (F.col("raw") == F.col("raw_")))
+        .select("digest", "text")
+        .dropDuplicates(["digest"])
+    )
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def with_texts(pairs: DataFrame, *more: str) -> DataFrame:
         left = texts.select(F.col("digest").alias("a"), F.col("text").alias("ta"))
         right = texts.select(F.col("digest").alias("b"), F.col("text").alias("tb"))
-        met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-        return scratch.save(
-            met.mapInArrow(_verify(params), "a binary, b binary, similarity double").where(
-                F.col("similarity") >= params.similarity
-            )
-        )
+        return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb", *more)
 
-    links = None
-    labels = None
-    for turn in range(params.anchor_rounds + 1):
-        if labels is None:
-            open_ = buckets.withColumn("label", F.col("digest"))
-        else:
-            named = buckets.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-            open_ = named.withColumn("label", F.coalesce("label", "digest"))
-        if turn:
-            several = (
-                open_.groupBy("key")
-                .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                .where("lo <> hi")
-                .select("key")
-            )
-            open_ = scratch.save(open_.join(several, "key", "left_semi"))
-        if turn < params.anchor_rounds:
-            order = F.xxhash64(F.lit(turn), F.col("digest"))
-            anchor = open_.groupBy("key").agg(
-                F.min_by(F.struct(F.col("digest").alias("a"), F.col("label").alias("la")), order).alias("x")
-            )
-            pairs = (
-                open_.join(anchor, "key")
-                .where("label <> x.la")
-                .select(F.least("digest", "x.a").alias("a"), F.greatest("digest", "x.a").alias("b"))
-            )
-        else:
-            other = open_.select("key", F.col("digest").alias("b"), F.col("label").alias("lb"))
-            pairs = open_.join(other, "key").where("digest < b and label <> lb").select(F.col("digest").alias("a"), "b")
-        pairs = pairs.distinct()
-        if links is not None:
+    tested, links, labels = None, None, None
+
+    def settle(pairs: DataFrame) -> int:
+        """Verify pairs that are new, and form the components again. Returns how many were verified."""
+        nonlocal tested, links, labels
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs)
-        tested = pairs if links is None else tested.unionByName(pairs)
-        found = verified(pairs)
+        count = pairs.count()
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if not count and links is not None:
+            return 0
+        found = scratch.save(with_texts(pairs).mapInArrow(_verify(params), "a binary, b binary, similarity double"))
         links = found if links is None else links.unionByName(found)
         labels = components(links, scratch)
-        if pairs.limit(1).count() == 0:
-            break
+        return count
+
+    def still_open() -> DataFrame:
+        """Members, with their component, of the buckets that hold more than one component."""
+        if labels is None:
+            return buckets.join(central, "digest").withColumn("label", F.col("digest"))
+        named = buckets.join(central, "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+        named = named.withColumn("label", F.coalesce("label", "digest"))
+        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        return scratch.save(named.join(mixed, "key", "left_semi"))
+
+    def anchored(members: DataFrame, order) -> DataFrame:
+        """Each member with its bucket's anchor ``p``, the one that ``order`` puts first."""
+        anchor = members.groupBy("key").agg(F.max_by("digest", order).alias("p"))
+        return members.join(anchor, "key").where("digest <> p")
+
+    by_meetings = F.struct(F.col("met"), F.col("digest"))
+    for turn in range(params.anchor_rounds):
+        members = still_open()
+        order = by_meetings if turn == 0 else F.struct(F.xxhash64(F.lit(turn), F.col("digest")), F.col("digest"))
+        if turn == 0:
+            settle(anchored(members, order).select(F.col("p").alias("a"), F.col("digest").alias("b")))
+            continue
+        anchor = members.groupBy("key").agg(F.max_by(F.struct(F.col("digest").alias("p"), F.col("label").alias("lp")), order).alias("x"))
+        settle(members.join(anchor, "key").where("label <> x.lp").select(F.col("x.p").alias("a"), F.col("digest").alias("b")))
+
+    members = still_open()
+    few = members.where(F.col("n") <= params.small)
+    other = few.select("key", F.col("digest").alias("b"), F.col("label").alias("lb"))
+    settle(few.join(other, "key").where("digest < b and label <> lb").select(F.col("digest").alias("a"), "b"))
+
+    members = still_open().where(F.col("n") > params.small)
+    against = anchored(members, by_meetings).select(F.col("p").alias("a"), F.col("digest").alias("b"), "label").distinct()
+    filed = scratch.save(
+        with_texts(against, "label").mapInArrow(_differences(params), DIFFERENCES)
+    )
+    theirs = filed.select(
+        "a", "token", F.col("role").alias("yrole"), F.col("b").alias("y"), F.col("label").alias("ly"), F.col("at").alias("yat"),
+        F.col("size").alias("ysize"), F.col("words").alias("ywords"),
+    )
+
+    def meet(own: int, other: int) -> DataFrame:
+        met = filed.where(F.col("role") == own).join(theirs.where(F.col("yrole") == other), ["a", "token"])
+        one_way = " and b < y" if own == other else ""
+        return met.where(f"label <> ly and {_may_share_enough(params.similarity)}{one_way}").select(F.col("b").alias("x"), "y")
+
+    met = meet(LINKED, OTHER).unionByName(meet(OTHERS, OTHERS))
+    settle(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
+
     degree = (
         links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("links"))
     )
@@ -296,12 +392,14 @@ def near_duplicates(
         .join(degree, "digest", "left")
         .withColumn("links", F.coalesce("links", F.lit(0)).cast("bigint"))
     )
-    groups = named.groupBy("label").agg(F.min("class_id").alias("group_id"))
+    groups = named.groupBy("label").agg(F.min(F.struct(F.col("class_id").isNull().alias("none"), "class_id")).alias("g"))
     classed = scratch.save(
-        named.join(groups, "label").select("digest", "class_id", "group_id", F.col("label").alias("group"), "copies", "links")
+        named.join(groups, "label").select(
+            "digest", "class_id", F.col("g.class_id").alias("group_id"), F.col("label").alias("group"), "copies", "links"
+        )
     )
-    return sketched.select("id", "digest").join(classed, "digest").select(
-        "id", "digest", "class_id", "group_id", "group", "copies", "links"
+    return sketched.select("id", "raw", "digest").join(classed, "digest").select(
+        "id", "raw", "digest", "class_id", "group_id", "group", "copies", "links"
     )
 
 
@@ -310,55 +408,34 @@ def keep_representatives(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group: one row a group.
 
-    The named representatives and the documents are dealt out by id once and merged
-    in order; a text's digest is computed again only where an id stands on several rows.
+    The named representatives and the documents are dealt out by id once and merged in
+    order; a row is recognised by its id and the hash of its text.
     """
     found = near_duplicates(docs, params, id_col=id_col, text_col=text_col)
-    named = found.where(F.col("id").eqNullSafe(F.col("group_id")) & F.col("class_id").eqNullSafe(F.col("group_id")))
-    # Classes of one group may share their least id; the group keeps the least digest among them.
-    named = named.groupBy(F.col("group_id").alias("id"), "group").agg(F.min("digest").alias("digest")).select("id", "digest")
+    named = found.where(F.col("id").eqNullSafe(F.col("group_id")))
+    # Classes of one group may share its least id; one row of one of them stays.
+    named = named.groupBy("group").agg(F.min(F.struct("id", "raw")).alias("m")).select("m.id", "m.raw")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.lit(None).cast("binary").alias("digest"), whole.alias("row"))
-    wanted = named.select("id", "digest", F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
+    rows = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("raw"), whole.alias("row")
+    )
+    wanted = named.select("id", "raw", F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = wanted.unionByName(rows).repartition(parts, "id").sortWithinPartitions("id", F.col("digest").asc_nulls_last())
-    at = docs.columns.index(text_col)
+    dealt = wanted.unionByName(rows).repartition(parts, "id").sortWithinPartitions("id", "raw", F.col("row").isNotNull())
 
     def merge(batches):
-        def settle(digests, group):
-            if not digests:
-                return
-            if len(digests) == 1 and len(group) == 1:
-                yield group[0]
-                return
-            left = set(digests)
-            for row in group:
-                text = row.field(at)[0].as_py() or ""
-                own = _digest(text, words_of(text))
-                if own in left:
-                    left.discard(own)
-                    yield row
-
-        here, digests, group, started = None, [], [], False
+        due, held = None, False  # the representative that waits for its row
         for batch in batches:
-            ids, marks, structs = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
-            out = []
-            for i, value in enumerate(ids):
-                if not started or value != here:
-                    out += settle(digests, group)
-                    here, digests, group, started = value, [], [], True
-                if marks[i].is_valid:
-                    digests.append(marks[i].as_py())
-                elif digests:
-                    group.append(structs.slice(i, 1))
-            if out:
-                yield _rows(out)
-        last = list(settle(digests, group))
-        if last:
-            yield _rows(last)
-
-    def _rows(parts):
-        joined = pa.concat_arrays(parts)
-        return pa.RecordBatch.from_arrays(joined.flatten(), names=[f.name for f in joined.type])
+            ids, raws, structs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            take = []
+            for i, key in enumerate(zip(ids, raws, strict=True)):
+                if not structs[i].is_valid:
+                    due, held = key, True
+                elif held and key == due:
+                    take.append(i)
+                    held = False
+            if take:
+                picked = structs.take(pa.array(take))
+                yield pa.RecordBatch.from_arrays(picked.flatten(), names=[f.name for f in picked.type])
 
     return dealt.mapInArrow(merge, docs.schema)
