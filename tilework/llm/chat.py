@@ -60,33 +60,35 @@ def paths(messages: DataFrame, params: ChatParams, scratch: Scratch) -> DataFram
     first = nodes.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), "score"
     )
-    # up: the ancestor 2**k steps away, or null beyond the root; score: summed over the steps passed.
-    strides = [scratch.save(first.withColumn("depth", F.lit(1)))]
-    bound = strides[0].groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    while 1 << (len(strides) - 1) < bound:
-        now = strides[-1]
-        if now.where("up is not null").limit(1).count() == 0:
-            break
-        far = now.select(
+    # up: the ancestor 2**k steps away, or null beyond the root; score and depth: summed over the steps passed.
+    # A message that has passed its root is settled and takes part only where others look it up.
+    now = scratch.save(first.withColumn("depth", F.lit(1)))
+    bound = now.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    settled, active = now.where("up is null"), now.where("up is not null")
+    strides = [active]
+    while 1 << (len(strides) - 1) < bound and active.limit(1).count():
+        state = settled.unionByName(active).select(
             "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("s2"), F.col("depth").alias("d2")
         )
-        doubled = now.join(far, ["tree", "up"], "left").select(
+        doubled = active.join(state, ["tree", "up"]).select(
             "tree",
             "node",
             F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
+            (F.col("score") + F.col("s2")).alias("score"),
+            (F.col("depth") + F.col("d2")).alias("depth"),
         )
-        strides.append(scratch.save(doubled))
-    settled = strides[-1].where("up is null")  # what never passes a root is in a cycle or below one
-    inner = strides[0].where("up is not null").select("tree", F.col("up").alias("node")).distinct()
+        now = scratch.save(doubled)
+        settled, active = settled.unionByName(now.where("up is null")), now.where("up is not null")
+        strides.append(active)
+    # What is still active never passes a root: it is in a cycle or below one.
+    inner = strides[0].select("tree", F.col("up").alias("node")).distinct()
     leaves = settled.join(inner, ["tree", "node"], "left_anti").withColumn("score", F.col("score") / F.col("depth"))
     if params.top is not None:
         rank = F.row_number().over(W.partitionBy("tree").orderBy(F.col("score").desc(), F.col("node")))
         leaves = leaves.withColumn("rank", rank).where(F.col("rank") <= params.top)
     walked = scratch.save(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("at")))
     for k in range(len(strides) - 1, -1, -1):
-        step = strides[k].where("up is not null").select("tree", "node", "up")
+        step = strides[k].select("tree", "node", "up")
         further = walked.join(step, ["tree", "node"]).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("at") + F.lit(1 << k)).alias("at")
         )
