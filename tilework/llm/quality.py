@@ -15,12 +15,12 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
+import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,8 +31,6 @@ FUNCTION_WORDS = frozenset(
     " le la les de et à un une du en que qui dans par pour sur au avec il se ne pas"
     " el los las y que del en una por con para como más su al lo no sus".split()
 )
-_ODD = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:'\"()?!’-]")
-_UPPER, _LETTER = regex.compile(r"\p{Lu}"), regex.compile(r"\p{L}")
 GOOD, BAD, NONE = 1, 0, 2
 LABELLERS = (
     "odd_symbols", "capitals", "frequent_word", "runs", "function_words", "sentences", "word_length", "bare_symbols",
@@ -54,35 +52,95 @@ def _vote(value: float, good: float, bad: float) -> int:
     return GOOD if value <= good else BAD if value >= bad else NONE
 
 
-def votes(text: str, words: list[str]) -> tuple:
+#: Character classes: neither, lower-case or uncased letter, capital, odd symbol.
+PLAIN, LETTER, CAPITAL, ODD = range(4)
+
+
+@lru_cache(1)
+def _classes() -> np.ndarray:
+    """Class of each character of the basic plane; characters beyond it are looked up as the last one."""
+
+    def of(c: str) -> int:
+        kind = unicodedata.category(c)
+        if kind == "Lu":
+            return CAPITAL
+        if kind[0] == "L":
+            return LETTER
+        return PLAIN if kind[0] in "MNZC" or c in ".,;:'\"()?!’-" else ODD
+
+    return np.array([of(chr(i)) for i in range(0x10000)], np.uint8)
+
+
+class Lexicon:
+    """Numbers and properties of words; forgotten between texts when there are too many."""
+
+    def __init__(self, buckets: int, most: int = 200_000):
+        self.buckets, self.most = buckets, most
+        self.known: dict[str, int] = {}
+        self.rows = np.empty((1024, 6), np.int32)  # word bucket, shape bucket, function word, ends a sentence, bare, length
+
+    def _add(self, w: str) -> int:
+        shape, last, run = [], "", 0
+        for c in w:
+            kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+            run = run + 1 if kind == last else 1
+            last = kind
+            if run <= 2:
+                shape.append(kind)
+        low = w.lower()
+        bucket = lambda mark, x: xxhash.xxh3_64_intdigest(mark + x.encode("utf-8", "replace")) % self.buckets
+        number = len(self.known)
+        if number == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[number] = (
+            bucket(b"w", low), bucket(b"s", "".join(shape)), low.strip(".,;:!?") in FUNCTION_WORDS, w[-1] in ".!?",
+            not any(map(str.isalnum, w)), len(w),
+        )
+        self.known[w] = number
+        return number
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > self.most:
+            self.known.clear()
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self.known[w] if w in self.known else self._add(w) for w in words]
+        return np.array(found, np.int64)
+
+
+def votes(text: str, numbers: np.ndarray, lexicon: Lexicon) -> tuple:
     """One vote of each labeller, in the order of LABELLERS."""
-    n = len(words)
+    n = len(numbers)
     if not n:
         return (NONE,) * len(LABELLERS)
-    letters = len(_LETTER.findall(text))
-    counts = Counter(words)
-    functional = sum(c for w, c in counts.items() if w.lower().strip(".,;:!?") in FUNCTION_WORDS) / n
-    ended = sum(c for w, c in counts.items() if w[-1] in ".!?") / n
-    bare = sum(c for w, c in counts.items() if not any(map(str.isalnum, w))) / n
-    repeats = longest = run = 0
-    for a, b in zip(words, words[1:], strict=False):
-        run = run + 1 if a == b else 0
-        repeats += run > 0
-        longest = max(longest, run)
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    kinds = np.bincount(_classes()[np.minimum(codes, 0xFFFF)], minlength=4)
+    letters = int(kinds[LETTER] + kinds[CAPITAL])
+    functional, ended, bare, length = lexicon.rows[numbers, 2:].mean(0)
+    same = np.flatnonzero(numbers[1:] != numbers[:-1])
+    longest = int(np.diff(np.concatenate([[-1], same, [n - 1]])).max()) - 1
+    frequent = int(np.unique(numbers, return_counts=True)[1].max())
     enough = n >= 20
     return (
-        _vote(len(_ODD.findall(text)) / len(text), 0.02, 0.08),
-        _vote(len(_UPPER.findall(text)) / letters, 0.2, 0.5) if letters else NONE,
-        _vote(counts.most_common(1)[0][1] / n, 0.12, 0.25) if enough else NONE,
-        _vote(repeats / n, 0.05, 0.2) if enough else NONE,
+        _vote(kinds[ODD] / len(codes), 0.02, 0.08),
+        _vote(kinds[CAPITAL] / letters, 0.2, 0.5) if letters else NONE,
+        _vote(frequent / n, 0.12, 0.25) if enough else NONE,
+        _vote(1 - (len(same) + 1) / n, 0.05, 0.2) if enough else NONE,
         _vote(-functional, -0.08, -0.02) if enough else NONE,
         (GOOD if 0.01 <= ended <= 0.5 else BAD) if enough else NONE,
-        GOOD if 2.5 <= sum(map(len, words)) / n <= 9 else BAD,
+        GOOD if 2.5 <= length <= 9 else BAD,
         _vote(bare, 0.02, 0.1),
         _vote(longest, 2, 6) if enough else NONE,
     )
 
 
+def features(numbers: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+    """Counts of word and shape buckets; bucket 0 also counts words that repeat the one before."""
+    counts = np.bincount(lexicon.rows[numbers, :2].ravel(), minlength=lexicon.buckets)
+    counts[0] += int((numbers[1:] == numbers[:-1]).sum())
+    return counts
+
+
 def pattern_of(vote: tuple) -> int:
     return sum(v * 3**i for i, v in enumerate(vote))
 
@@ -99,7 +157,7 @@ class LabelModel:
 
     def posterior(self, pattern: np.ndarray) -> np.ndarray:
         """P(good | votes); labellers are independent given the class, abstentions say nothing."""
-        v = np.array([votes_of(int(p)) for p in pattern]).reshape(-1, len(LABELLERS))
+        v = np.asarray(pattern)[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
         good = np.log(self.prior) + (np.where(v == GOOD, np.log(self.on_good), np.where(v == BAD, np.log1p(-self.on_good), 0))).sum(1)
         bad = np.log1p(-self.prior) + (np.where(v == GOOD, np.log(self.on_bad), np.where(v == BAD, np.log1p(-self.on_bad), 0))).sum(1)
         return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
@@ -129,45 +187,6 @@ def fit_labels(counts: dict[int, int], rounds: int = 200) -> LabelModel:
     return model
 
 
-class _Hasher:
-    """Feature numbers of words: the word itself and its shape."""
-
-    def __init__(self, buckets: int):
-        self.buckets, self.known = buckets, {}
-
-    def word(self, w: str) -> tuple:
-        shape, last, run = [], "", 0
-        for c in w:
-            kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-            run = run + 1 if kind == last else 1
-            last = kind
-            if run <= 2:
-                shape.append(kind)
-        low = w.lower().encode("utf-8", "replace")
-        return (
-            xxhash.xxh3_64_intdigest(b"w" + low) % self.buckets,
-            xxhash.xxh3_64_intdigest(b"s" + "".join(shape).encode("utf-8", "replace")) % self.buckets,
-        )
-
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Feature numbers and values; a text's features have Euclidean length 1."""
-        flat, known = [], self.known
-        before = None
-        for w in words:
-            f = known.get(w)
-            if f is None:
-                f = self.word(w)
-                if len(known) < 100_000 and len(w) <= 32:
-                    known[w] = f
-            flat += f
-            if w == before:
-                flat.append(0)  # bucket 0 also counts words that repeat the one before
-            before = w
-        number, count = np.unique(np.array(flat, np.int64), return_counts=True)
-        value = np.sqrt(count.astype(np.float64))
-        return number, value / np.sqrt((value**2).sum())
-
-
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, buckets: int, steps: int) -> np.ndarray:
     """Logistic regression on soft labels by full-batch Adagrad; the last weight is the bias."""
     weights = np.zeros(buckets + 1)
@@ -188,22 +207,34 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bu
     return weights
 
 
-def _patterns(batches):
+def _texts(batches, column: int, buckets: int):
+    """Each batch with, for its texts, the pattern of votes and the feature counts (none for a text without words)."""
+    lexicon = Lexicon(buckets)
     for batch in batches:
-        texts = (x.as_py() or "" for x in batch.column(0))
-        yield pa.RecordBatch.from_arrays([pa.array([pattern_of(votes(t, t.split())) for t in texts], pa.int32())], names=["pattern"])
+
+        def rows(batch=batch):
+            for x in batch.column(column):
+                text = x.as_py() or ""
+                numbers = lexicon.numbers(text.split())
+                yield pattern_of(votes(text, numbers, lexicon)), (lambda n=numbers: features(n, lexicon) if len(n) else None)
+
+        yield batch, rows()
+
+
+def _patterns(batches):
+    for _, rows in _texts(batches, 0, 1):
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32())], names=["pattern"])
 
 
 def _sample(buckets: int):
     def run(batches):
-        hasher = _Hasher(buckets)
-        for batch in batches:
+        for _, rows in _texts(batches, 0, buckets):
             out = []
-            for x in batch.column(0):
-                t = x.as_py() or ""
-                words = t.split()
-                number, value = hasher(words)
-                out.append((pattern_of(votes(t, words)), number.astype("<u4").tobytes(), value.astype("<f4").tobytes()))
+            for pattern, counted in rows:
+                counts = counted()
+                if counts is not None:
+                    at = np.flatnonzero(counts)
+                    out.append((pattern, at.astype("<u4").tobytes(), np.sqrt(counts[at] / counts.sum()).astype("<f4").tobytes()))
             columns = list(zip(*out, strict=True)) if out else [()] * 3
             kinds = (pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["pattern", "number", "value"])
@@ -213,21 +244,19 @@ def _sample(buckets: int):
 
 def _score(weights: np.ndarray, labels: LabelModel, params: QualityParams):
     def run(batches):
-        hasher = _Hasher(params.buckets)
         posterior = labels.posterior(np.arange(3 ** len(LABELLERS)))
-        for batch in batches:
+        for batch, rows in _texts(batches, 1, params.buckets):
             p, s = [], []
-            for x in batch.column(1):
-                t = x.as_py() or ""
-                words = t.split()
-                p.append(float(posterior[pattern_of(votes(t, words))]))
-                if words:
-                    number, value = hasher(words)
-                    s.append(float(1 / (1 + np.exp(-np.clip(weights[number] @ value + weights[-1], -50, 50)))))
-                else:
+            for pattern, counted in rows:
+                p.append(float(posterior[pattern]))
+                counts = counted()
+                if counts is None:
                     s.append(0.0)
+                    continue
+                z = np.sqrt(counts) @ weights[:-1] / np.sqrt(counts.sum()) + weights[-1]
+                s.append(float(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(p, pa.float64()), pa.array(s, pa.float64()), pa.array([v >= params.keep_at for v in s])],
+                [batch.column(0), pa.array(p, pa.float64()), pa.array(s, pa.float64()), pa.array([v >= params.keep_at for v in s], pa.bool_())],
                 names=["id", "posterior", "score", "keep"],
             )
 
