@@ -21,9 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from .scratch import Scratch
+
 # Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = frozenset(
     "the of and to in is that for it with as was on be by this are from at or an not have"
@@ -41,9 +42,9 @@ LABELLERS = (
 @dataclass(frozen=True)
 class QualityParams:
     buckets: int = 8192
-    sample_docs: int = 2000  # bound of the training sample
+    sample_docs: int = 2000  # expected size of the training sample; never over twice as many
     em_rounds: int = 200
-    steps: int = 300
+    steps: int = 150
     keep_at: float = 0.5
 
 
@@ -52,92 +53,119 @@ def _vote(value: float, good: float, bad: float) -> int:
     return GOOD if value <= good else BAD if value >= bad else NONE
 
 
-#: Character classes: neither, lower-case or uncased letter, capital, odd symbol.
-PLAIN, LETTER, CAPITAL, ODD = range(4)
+#: Character classes: white space, neither, lower-case or uncased letter, capital, digit, odd symbol.
+SPACE, PLAIN, LETTER, CAPITAL, DIGIT, ODD = range(6)
 
 
 @lru_cache(1)
-def _classes() -> np.ndarray:
-    """Class of each character of the basic plane; characters beyond it are looked up as the last one."""
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower case of each character of the basic plane; those beyond it are looked up as its last one."""
 
     def of(c: str) -> int:
         kind = unicodedata.category(c)
+        if c.isspace():
+            return SPACE
         if kind == "Lu":
             return CAPITAL
         if kind[0] == "L":
             return LETTER
-        return PLAIN if kind[0] in "MNZC" or c in ".,;:'\"()?!’-" else ODD
-
-    return np.array([of(chr(i)) for i in range(0x10000)], np.uint8)
-
-
-class Lexicon:
-    """Numbers and properties of words; forgotten between texts when there are too many."""
-
-    def __init__(self, buckets: int, most: int = 200_000):
-        self.buckets, self.most = buckets, most
-        self.known: dict[str, int] = {}
-        self.rows = np.empty((1024, 6), np.int32)  # word bucket, shape bucket, function word, ends a sentence, bare, length
-
-    def _add(self, w: str) -> int:
-        shape, last, run = [], "", 0
-        for c in w:
-            kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-            run = run + 1 if kind == last else 1
-            last = kind
-            if run <= 2:
-                shape.append(kind)
-        low = w.lower()
-        bucket = lambda mark, x: xxhash.xxh3_64_intdigest(mark + x.encode("utf-8", "replace")) % self.buckets
-        number = len(self.known)
-        if number == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[number] = (
-            bucket(b"w", low), bucket(b"s", "".join(shape)), low.strip(".,;:!?") in FUNCTION_WORDS, w[-1] in ".!?",
-            not any(map(str.isalnum, w)), len(w),
-        )
-        self.known[w] = number
-        return number
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known.clear()
-        found = list(map(self.known.get, words))
-        if None in found:
-            found = [self.known[w] if w in self.known else self._add(w) for w in words]
-        return np.array(found, np.int64)
-
-
-def votes(text: str, numbers: np.ndarray, lexicon: Lexicon) -> tuple:
+        if kind[0] == "N":
+            return DIGIT
+        return PLAIN if kind[0] in "MZC" or c in ".,;:'\"()?!’-" else ODD
+
+    plane = [chr(i) for i in range(0x10000)]
+    return np.array([of(c) for c in plane], np.uint8), np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in plane], np.uint32)
+
+
+_STOPS = np.array([ord(c) for c in ".,;:!?"], np.uint32)
+
+
+@lru_cache(1)
+def _powers() -> np.ndarray:
+    """Multipliers of the places of a word; places from the 4096th on share one."""
+    return np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _hashes(codes: np.ndarray, word: np.ndarray, count: int) -> np.ndarray:
+    """A 64-bit hash of each word's characters; ``word`` names, in order, the word of each character."""
+    out = np.zeros(count, np.uint64)
+    if not len(codes):
+        return out
+    starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+    terms = (codes.astype(np.uint64) + np.uint64(1)) * _powers()[np.minimum(place, 4095)]
+    h = np.add.reduceat(terms, starts)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    out[word[starts]] = h ^ (h >> np.uint64(33))
+    return out
+
+
+@lru_cache(1)
+def _function_hashes() -> np.ndarray:
+    one = lambda w: _hashes(np.array([ord(c) for c in w], np.uint32), np.zeros(len(w), np.int64), 1)
+    return np.sort(np.concatenate([one(w) for w in FUNCTION_WORDS]))
+
+
+class Words:
+    """The words of a text (runs without white space) as arrays; no object is made for a word."""
+
+    def __init__(self, text: str):
+        codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+        at = np.minimum(codes, 0xFFFF)
+        classes, lower = _tables()
+        kind = classes[at]
+        self.kinds = np.bincount(kind, minlength=6)
+        self.chars = len(codes)
+        inside = kind != SPACE
+        first = inside & np.concatenate([[True], ~inside[:-1]]) if len(codes) else inside
+        self.count = int(first.sum())
+        if not self.count:
+            return
+        word = (np.cumsum(first) - 1)[inside]
+        kind, low = kind[inside], np.where(codes > 0xFFFF, codes, lower[at])[inside]
+        self.length = np.bincount(word, minlength=self.count)
+        self.hashes = _hashes(low, word, self.count)
+        letter = (kind == LETTER) | (kind == CAPITAL)
+        plain = ~np.isin(low, _STOPS)  # "the," is a function word, "the###" is not
+        self.functional = np.isin(_hashes(low[plain], word[plain], self.count), _function_hashes())
+        self.ended = np.isin(low[np.cumsum(self.length) - 1], (0x2E, 0x21, 0x3F))
+        self.bare = np.bincount(word, letter | (kind == DIGIT), self.count) == 0
+        # The shape of a word: its characters' classes, symbols as they are, runs cut after two.
+        shape = np.where(letter | (kind == DIGIT), kind, low + np.uint32(16))
+        new = np.concatenate([[True], (shape[1:] != shape[:-1]) | (word[1:] != word[:-1])])
+        place = np.arange(len(shape))
+        short = place - np.maximum.accumulate(np.where(new, place, 0)) < 2
+        self.shapes = _hashes(shape[short], word[short], self.count)
+        self.same = self.hashes[1:] == self.hashes[:-1]
+
+
+def votes(w: Words) -> tuple:
     """One vote of each labeller, in the order of LABELLERS."""
-    n = len(numbers)
+    n = w.count
     if not n:
         return (NONE,) * len(LABELLERS)
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    kinds = np.bincount(_classes()[np.minimum(codes, 0xFFFF)], minlength=4)
-    letters = int(kinds[LETTER] + kinds[CAPITAL])
-    functional, ended, bare, length = lexicon.rows[numbers, 2:].mean(0)
-    same = np.flatnonzero(numbers[1:] != numbers[:-1])
-    longest = int(np.diff(np.concatenate([[-1], same, [n - 1]])).max()) - 1
-    frequent = int(np.unique(numbers, return_counts=True)[1].max())
+    letters = int(w.kinds[LETTER] + w.kinds[CAPITAL])
+    longest = int(np.diff(np.concatenate([[-1], np.flatnonzero(~w.same), [n - 1]])).max()) - 1
+    frequent = int(np.unique(w.hashes, return_counts=True)[1].max())
     enough = n >= 20
     return (
-        _vote(kinds[ODD] / len(codes), 0.02, 0.08),
-        _vote(kinds[CAPITAL] / letters, 0.2, 0.5) if letters else NONE,
+        _vote(w.kinds[ODD] / w.chars, 0.02, 0.08),
+        _vote(w.kinds[CAPITAL] / letters, 0.2, 0.5) if letters else NONE,
         _vote(frequent / n, 0.12, 0.25) if enough else NONE,
-        _vote(1 - (len(same) + 1) / n, 0.05, 0.2) if enough else NONE,
-        _vote(-functional, -0.08, -0.02) if enough else NONE,
-        (GOOD if 0.01 <= ended <= 0.5 else BAD) if enough else NONE,
-        GOOD if 2.5 <= length <= 9 else BAD,
-        _vote(bare, 0.02, 0.1),
+        _vote(w.same.sum() / n, 0.05, 0.2) if enough else NONE,
+        _vote(-w.functional.mean(), -0.08, -0.02) if enough else NONE,
+        (GOOD if 0.01 <= w.ended.mean() <= 0.5 else BAD) if enough else NONE,
+        GOOD if 2.5 <= w.length.mean() <= 9 else BAD,
+        _vote(w.bare.mean(), 0.02, 0.1),
         _vote(longest, 2, 6) if enough else NONE,
     )
 
 
-def features(numbers: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+def features(w: Words, buckets: int) -> np.ndarray:
     """Counts of word and shape buckets; bucket 0 also counts words that repeat the one before."""
-    counts = np.bincount(lexicon.rows[numbers, :2].ravel(), minlength=lexicon.buckets)
-    counts[0] += int((numbers[1:] == numbers[:-1]).sum())
+    salted = np.concatenate([w.hashes, w.shapes * np.uint64(0xC4CEB9FE1A85EC53)]) >> np.uint64(20)
+    counts = np.bincount((salted % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+    counts[0] += int(w.same.sum())
     return counts
 
 
@@ -207,54 +235,40 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bu
     return weights
 
 
-def _texts(batches, column: int, buckets: int):
-    """Each batch with, for its texts, the pattern of votes and the feature counts (none for a text without words)."""
-    lexicon = Lexicon(buckets)
-    for batch in batches:
+def _read(buckets: int):
+    """One pass over the texts: the pattern of votes, and the numbers and values of the features (none without words)."""
 
-        def rows(batch=batch):
-            for x in batch.column(column):
-                text = x.as_py() or ""
-                numbers = lexicon.numbers(text.split())
-                yield pattern_of(votes(text, numbers, lexicon)), (lambda n=numbers: features(n, lexicon) if len(n) else None)
-
-        yield batch, rows()
-
-
-def _patterns(batches):
-    for _, rows in _texts(batches, 0, 1):
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32())], names=["pattern"])
-
-
-def _sample(buckets: int):
     def run(batches):
-        for _, rows in _texts(batches, 0, buckets):
-            out = []
-            for pattern, counted in rows:
-                counts = counted()
-                if counts is not None:
-                    at = np.flatnonzero(counts)
-                    out.append((pattern, at.astype("<u4").tobytes(), np.sqrt(counts[at] / counts.sum()).astype("<f4").tobytes()))
-            columns = list(zip(*out, strict=True)) if out else [()] * 3
-            kinds = (pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["pattern", "number", "value"])
+        for batch in batches:
+            patterns, numbers, values = [], [], []
+            for x in batch.column(1):
+                w = Words(x.as_py() or "")
+                patterns.append(pattern_of(votes(w)))
+                counts = features(w, buckets) if w.count else np.zeros(1, np.int64)
+                at = np.flatnonzero(counts)
+                numbers.append(at.astype("<u2").tobytes())
+                values.append(np.sqrt(counts[at] / max(1, counts.sum())).astype("<f2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(patterns, pa.int32()), pa.array(numbers, pa.binary()), pa.array(values, pa.binary())],
+                names=["id", "pattern", "number", "value"],
+            )
 
     return run
 
 
+def _unpack(number: bytes, value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(number, "<u2").astype(np.int64), np.frombuffer(value, "<f2").astype(float)
+
+
 def _score(weights: np.ndarray, labels: LabelModel, params: QualityParams):
     def run(batches):
         posterior = labels.posterior(np.arange(3 ** len(LABELLERS)))
-        for batch, rows in _texts(batches, 1, params.buckets):
-            p, s = [], []
-            for pattern, counted in rows:
-                p.append(float(posterior[pattern]))
-                counts = counted()
-                if counts is None:
-                    s.append(0.0)
-                    continue
-                z = np.sqrt(counts) @ weights[:-1] / np.sqrt(counts.sum()) + weights[-1]
-                s.append(float(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
+        for batch in batches:
+            s = []
+            for number, value in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                at, x = _unpack(number, value)
+                s.append(float(1 / (1 + np.exp(-np.clip(x @ weights[at] + weights[-1], -50, 50)))) if len(at) else 0.0)
+            p = posterior[batch.column(1).to_numpy()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array(s, pa.float64()), pa.array([v >= params.keep_at for v in s], pa.bool_())],
                 names=["id", "posterior", "score", "keep"],
@@ -264,16 +278,25 @@ def _score(weights: np.ndarray, labels: LabelModel, params: QualityParams):
 
 
 def classify(docs: DataFrame, params: QualityParams = QualityParams(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, posterior, score, keep`` for every row."""
+    """``id, posterior, score, keep`` for every row.
+
+    The texts are read once; patterns and packed features (about a third of the input)
+    are written to the shared folder, counted, sampled from and scored.
+    """
+    if params.buckets > 1 << 16:
+        raise ValueError("feature numbers are packed into 16 bits")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    counts = {r.pattern: r["n"] for r in rows.select("text").mapInArrow(_patterns, "pattern int").groupBy("pattern").agg(F.count("*").alias("n")).collect()}
+    kind = rows.schema["id"].dataType.simpleString()
+    made = rows.mapInArrow(_read(params.buckets), f"id {kind}, pattern int, number binary, value binary")
+    read = Scratch(docs.sparkSession, "quality").save(made)
+    counts = {r.pattern: r["n"] for r in read.groupBy("pattern").agg(F.count("*").alias("n")).collect()}
     labels = fit_labels(counts, params.em_rounds)
     total = max(1, sum(counts.values()))
     unit = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("quality")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = rows.where((unit < 2.0 * params.sample_docs / total) & F.col("text").isNotNull()).select("text").limit(2 * params.sample_docs)
-    sample = picked.mapInArrow(_sample(params.buckets), "pattern int, number binary, value binary").limit(params.sample_docs).collect()
-    features = [(np.frombuffer(r.number, "<u4").astype(np.int64), np.frombuffer(r.value, "<f4").astype(float)) for r in sample]
+    picked = read.where((unit < params.sample_docs / total) & (F.octet_length("number") > 0))
+    if picked.select("id").count() > 2 * params.sample_docs:  # an id that fills the sample with its repetitions
+        picked = picked.limit(2 * params.sample_docs)
+    sample = picked.select("pattern", "number", "value").collect()
     target = labels.posterior(np.array([r.pattern for r in sample])) if sample else np.empty(0)
-    weights = fit_scorer(features, target, params.buckets, params.steps)
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_score(weights, labels, params), f"id {kind}, posterior double, score double, keep boolean")
+    weights = fit_scorer([_unpack(r.number, r.value) for r in sample], target, params.buckets, params.steps)
+    return read.mapInArrow(_score(weights, labels, params), f"id {kind}, posterior double, score double, keep boolean")
