@@ -6,8 +6,8 @@ against each dictionary; the language with the smallest total wins. The relative
 margin to the runner-up is the score, and a narrow margin is a rejection.
 
 Defined results: null text, empty text and text without a letter give language
-``und``, score 0 and a rejection. Equal sizes are decided by the finer measure of
-``_tie_sizes`` and then by language name. Extra columns of the input are never
+``und``, score 0 and a rejection. Short texts with close sizes are
+decided by the finer measure of ``_fine_sizes``, equal sizes by language name. Extra columns of the input are never
 read. An empty training table gives a model without languages, for which every
 text is ``und``.
 """
@@ -104,17 +104,22 @@ class _Scorer:
         made.precompute_compress(level=level)
         return zstandard.ZstdCompressor(level=level, dict_data=made, write_content_size=False).compress
 
-    def _tie_sizes(self, data: bytes) -> list:
-        """A finer measure for short texts: what the text adds to its language's compressed dictionary.
+    def _fine_sizes(self, data: bytes) -> list:
+        """A finer measure for short texts: what the text adds to compressed slices of its language's dictionary.
 
         Behind that much text the entropy tables are settled, so that a match costs
-        less than literals even where a text alone is too short to be compressed.
+        less than literals even where a text alone is too short to be compressed; the
+        sum over eight slices tells texts apart whose single sizes are equal.
         """
         if self.fine is None:
             squeeze = zstandard.ZstdCompressor(level=9, write_content_size=False).compress
-            bases = [self.model.dictionaries[x][-16384:] for x in self.languages]
-            self.fine = [(squeeze, b, len(squeeze(b))) for b in bases]
-        return [len(squeeze(b + b"\n" + data)) - alone for squeeze, b, alone in self.fine]
+            self.fine = squeeze, []
+            for language in self.languages:
+                d = self.model.dictionaries[language]
+                slices = [d[i * len(d) // 8 :][:8192] for i in range(8)]
+                self.fine[1].append([(x, len(squeeze(x))) for x in slices])
+        squeeze, slices = self.fine
+        return [sum(len(squeeze(x + b"\n" + data)) - alone for x, alone in own) for own in slices]
 
     def __call__(self, text: str | None) -> tuple:
         if not text or not self.languages or not _LETTER.search(text):
@@ -123,9 +128,8 @@ class _Scorer:
         blocks = [data[i : i + step] for i in range(0, len(data), step)]
         sizes = [sum(len(c(b)) for b in blocks) for c in self.main]
         low = min(sizes)
-        if len(data) < 512 and sorted(sizes)[:2][-1] - low <= 3:
-            fine = self._tie_sizes(data)
-            sizes = [s + f for s, f in zip(sizes, fine, strict=True)]
+        if len(data) < 512 and sorted(sizes)[:2][-1] - low <= 12:
+            sizes = [s + f for s, f in zip(sizes, self._fine_sizes(data), strict=True)]
         order = sorted(range(len(sizes)), key=lambda i: (sizes[i], self.languages[i]))
         if len(order) == 1:
             return self.languages[0], 1.0, False
