@@ -408,7 +408,7 @@ def keep_representatives(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group: one row a group.
 
-    The named representatives and the documents are dealt out by id once and merged in
+    The named representatives and the documents are dealt out once and merged in
     order; a row is recognised by its id and the hash of its text.
     """
     found = near_duplicates(docs, params, id_col=id_col, text_col=text_col)
@@ -421,7 +421,8 @@ def keep_representatives(
     )
     wanted = named.select("id", "raw", F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = wanted.unionByName(rows).repartition(parts, "id").sortWithinPartitions("id", "raw", F.col("row").isNotNull())
+    # By id and text: rows without an id do not all meet in one task.
+    dealt = wanted.unionByName(rows).repartition(parts, "id", "raw").sortWithinPartitions("id", "raw", F.col("row").isNotNull())
 
     def merge(batches):
         due, held = None, False  # the representative that waits for its row
