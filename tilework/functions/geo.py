@@ -41,38 +41,41 @@ def sane(bbox: Column, box: Column, widest: float = 20.0) -> Column:
     return (box["xmax"] - box["xmin"] < widest) & (F.element_at(bbox, 3) >= F.element_at(bbox, 1))
 
 
-def split_dateline(x0: Column, x1: Column, y0: Column, y1: Column, straddles: Column, sx0: Column, sx1: Column) -> Column:
-    """One or two envelopes of a tile. ``sx0, sx1`` are its longitudes with those below 0 moved by 360."""
-    one = lambda a, b: F.array(envelope(a, y0, b, y1))
-    both = F.array(envelope(sx0, y0, F.lit(180.0), y1), envelope(F.lit(-180.0), y0, sx1 - 360, y1))
-    return (
-        F.when(~straddles, one(x0, x1))
-        .when(sx0 >= 180, one(sx0 - 360, sx1 - 360))
-        .when(sx1 <= 180, one(sx0, sx1))
-        .otherwise(both)
-    )
+def clip_to_world(low: Column, high: Column, south: Column, north: Column) -> Column:
+    """The envelopes of a longitude interval that may run past 180: what each copy of the world holds of it.
+
+    The copies are -180..180 and 180..540; what the second holds is moved back by 360.
+    """
+
+    def piece(turn: int) -> Column:
+        west, east = F.lit(-180.0 + 360 * turn), F.lit(180.0 + 360 * turn)
+        left, right = F.greatest(low, west), F.least(high, east)
+        point = (low == high) & (low >= west) & (low < east)
+        return F.when((left < right) | point, envelope(left - 360 * turn, south, right - 360 * turn, north))
+
+    return F.filter(F.array(piece(0), piece(1)), lambda p: p.isNotNull())
 
 
 def footprints(scenes: DataFrame, tile: str = "tile") -> DataFrame:
-    """``tile, pieces``: the envelope of each tile's scenes, cut at the dateline where they lie on both sides.
+    """``tile, pieces``: the envelope of each tile's scenes, in two pieces where it runs across the dateline.
 
-    ``scenes`` has the tile and ``x0, x1, y0, y1``. One pre-aggregated exchange of narrow rows.
+    ``scenes`` has the tile and ``x0, x1, y0, y1``; what sticks out of the world is cut
+    off. Each scene is an interval of longitudes in two frames: as it is, and turned so
+    that it starts in 0..360. A tile whose scenes reach past 170 on one side and past -170
+    on the other takes the turned frame, in which the dateline is inside. One
+    pre-aggregated exchange of narrow rows.
     """
-    clamped = scenes.select(
-        F.col(tile).alias("tile"), F.greatest("x0", F.lit(-180.0)).alias("x0"), F.least("x1", F.lit(180.0)).alias("x1"), "y0", "y1"
-    )
-    west = F.col("x0") < 0
-    grouped = clamped.groupBy("tile").agg(
-        F.min("x0").alias("x0"),
-        F.max("x1").alias("x1"),
-        F.min("y0").alias("y0"),
-        F.max("y1").alias("y1"),
-        (F.bool_or(F.col("x1") > 170) & F.bool_or(F.col("x0") < -170)).alias("straddles"),
-        F.min(F.when(west, F.col("x0") + 360).otherwise(F.col("x0"))).alias("sx0"),
-        F.max(F.when(west, F.col("x1") + 360).otherwise(F.col("x1"))).alias("sx1"),
+    left, right = F.greatest(F.col("x0"), F.lit(-180.0)), F.least(F.col("x1"), F.lit(180.0))
+    turned = F.pmod(left, F.lit(360.0))
+    grouped = scenes.groupBy(F.col(tile).alias("tile")).agg(
+        F.struct(F.min(left).alias("low"), F.max(right).alias("high")).alias("plain"),
+        F.struct(F.min(turned).alias("low"), F.max(turned + (right - left)).alias("high")).alias("round"),
+        ((F.max(right) > 170) & (F.min(left) < -170)).alias("both_sides"),
+        F.min("y0").alias("south"),
+        F.max("y1").alias("north"),
     )
-    c = F.col
-    return grouped.select("tile", split_dateline(c("x0"), c("x1"), c("y0"), c("y1"), c("straddles"), c("sx0"), c("sx1")).alias("pieces"))
+    frame = F.when(F.col("both_sides"), F.col("round")).otherwise(F.col("plain"))
+    return grouped.select("tile", clip_to_world(frame["low"], frame["high"], F.col("south"), F.col("north")).alias("pieces"))
 
 
 def hilbert(lon: Column, lat: Column, order: int = 16) -> Column:

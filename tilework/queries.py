@@ -481,13 +481,13 @@ def _boxes(spark, sf):
     return rows.select("tile", x0.alias("x0"), (x0 + 0.5).alias("x1"), "y0", (c("y0") + 1.25).alias("y1"))
 
 
-@query(f"""with {BOXES}, clamped as (select tile, greatest(x0, -180) as x0, least(x0 + 0.5, 180) as x1, y0, y1 from boxes),
-  tiles as (select tile, min(x0) as x0, max(x1) as x1, min(y0) as y0, max(y1) as y1, bool_or(x1 > 170) and bool_or(x0 < -170) as straddles,
-    min(case when x0 < 0 then x0 + 360 else x0 end) as sx0, max(case when x0 < 0 then x1 + 360 else x1 end) as sx1 from clamped group by 1),
-  pieces as (select tile, 0 as piece, case when not straddles then x0 when sx0 >= 180 then sx0 - 360 else sx0 end as xmin,
-      case when not straddles then x1 when sx0 >= 180 then sx1 - 360 when sx1 <= 180 then sx1 else 180 end as xmax, y0 as ymin, y1 as ymax from tiles
-    union all select tile, 1, -180, sx1 - 360, y0, y1 from tiles where straddles and sx0 < 180 and sx1 > 180)
-  select tile, piece, round(xmin, 6) as xmin, round(xmax, 6) as xmax, ymin, ymax from pieces""")
+@query(f"""with {BOXES}, cut as (select tile, greatest(x0, -180) as l, least(x0 + 0.5, 180) as r, y0, y1 from boxes),
+  framed as (select tile, case when max(r) > 170 and min(l) < -170 then min((l + 360) % 360) else min(l) end as low,
+    case when max(r) > 170 and min(l) < -170 then max((l + 360) % 360 + r - l) else max(r) end as high, min(y0) as ymin, max(y1) as ymax from cut group by 1),
+  pieces as (select tile, turn, greatest(low, 360 * turn - 180) - 360 * turn as xmin, least(high, 360 * turn + 180) - 360 * turn as xmax, ymin, ymax
+    from framed, (values (0), (1)) as t(turn))
+  select tile, cast(row_number() over (partition by tile order by turn) - 1 as integer) as piece, round(xmin, 6) as xmin, round(xmax, 6) as xmax, ymin, ymax
+  from pieces where xmin < xmax""")
 def footprint(spark, sf):
     pieces = geo.footprints(_boxes(spark, sf)).select("tile", F.posexplode("pieces").alias("piece", "p"))
     return pieces.select("tile", "piece", F.round("p.xmin", 6).alias("xmin"), F.round("p.xmax", 6).alias("xmax"), c("p.ymin").alias("ymin"), c("p.ymax").alias("ymax"))
