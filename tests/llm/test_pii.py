@@ -59,7 +59,7 @@ def test_base_spans(spark, source):
 def test_long_runs_take_neither_stack_nor_square_time(spark):
     text = "a" * 200_000 + " " + "1" * 200_000 + " " + "1 " * 100_000 + "1.1." * 50_000 + "a@" * 50_000 + "A1" * 50_000
     got = pii.find(spark.createDataFrame([(text,)], "text string")).first()
-    assert sum(s.kind == "ip" for s in got.spans) == 25_000 or len(got.spans) >= 0
+    assert sum(s.kind == "ip" for s in got.spans) == 25_000
 
 
 def test_iban_and_context(spark):
