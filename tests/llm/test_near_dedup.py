@@ -141,3 +141,47 @@ def test_linked_means_the_threshold():
     p = np.arange(90, dtype=np.uint64)
     assert dict(nd.difference_prefixes(p, np.arange(72, dtype=np.uint64), 0.8)[1]).keys() == {nd.LINKED}
     assert dict(nd.difference_prefixes(p, np.arange(71, dtype=np.uint64), 0.8)[1]).keys() == {nd.OTHER, nd.OTHERS}
+
+
+def uneven_family(seed=11):
+    """Texts that repeat a line, in clusters alike by probability Jaccard only; all in the bucket of one register."""
+    rng = random.Random(seed)
+    line = [f"line{i}" for i in range(12)]
+    texts = []
+    for k in range(60):
+        own = [f"c{k % 8}w{i}" for i in range(14)] + [f"t{k}w{i}" for i in range(rng.randint(2, 20))]
+        texts.append(" ".join(line * rng.randint(9, 13) + own))
+    sets = [nd.shingles(nd.words_of(t), 5) for t in texts]
+    first = nd.signatures(sets, 1, nd.NearParams().seed)[:, 0].tolist()
+    most = max(first, key=first.count)
+    return {i: t for i, t in enumerate(texts) if first[i] == most}
+
+
+def test_large_buckets_find_links_of_uneven_counts(spark):
+    texts = uneven_family()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    one_bucket = nd.NearParams(registers=1, band=1, small=3)
+    want = brute(texts)
+    assert 1 < len(set(want.values())) < len(texts) / 2
+    assert {r.id: r.group_id for r in nd.near_duplicates(docs, one_bucket).collect()} == want
+
+
+def test_the_filter_beside_the_anchor_loses_no_pair():
+    rng = random.Random(9)
+    sets = []
+    for k in range(160):
+        tokens = sorted({3, *rng.sample(range(60), 40), *([101] if k else []), *rng.sample(range(100, 130), rng.randint(0, 8))})
+        heavy = {3: rng.choice([150, 300]), 101: rng.choice([20, 100, 300])}
+        sets.append((np.array(tokens, np.uint64), np.array([heavy.get(t, 1) for t in tokens], float)))
+    p, found, beside = sets[0], 0, 0
+    filed = [nd.beside_anchor(p, x, 0.8) for x in sets]
+    for (x, (dx, bx, tx, rx)), (y, (dy, by, ty, ry)) in itertools.combinations(zip(sets, filed, strict=True), 2):
+        if nd.probability_jaccard(x, y) < 0.8:
+            continue
+        found += 1
+        assert abs(dx - dy) <= 0.2 + 1e-9
+        if max(bx, by) > 0.2 + 1e-9:
+            beside += 1
+            rest = dict(zip(ty.tolist(), ry, strict=True))
+            assert any(t in rest and min(r, rest[t]) >= max(bx, by) - 0.2 - 1e-9 for t, r in zip(tx.tolist(), rx, strict=True))
+    assert found > 20 and beside > 5

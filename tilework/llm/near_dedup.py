@@ -34,8 +34,9 @@ Plan, in order of size:
 6. verification computes the similarity from both whole texts.
 
 Families of near-copies thus cost their members times the bands, not their square.
-Steps 4 and 5 lose no link: step 5 finds every pair of a bucket with Jaccard
-similarity at the threshold or above.
+Steps 4 and 5 lose no link of a bucket. Among members of uneven counts that hold little
+beside the anchor step 5 tests every pair of different components whose distances to it
+differ by no more than a link allows.
 
 Defined results: null text counts as empty. Texts without a word have one class for
 each distinct text. Texts with fewer words than a shingle are one shingle. A class
@@ -190,6 +191,11 @@ def _sketch(params: NearParams):
     return run
 
 
+def uneven(a: tuple) -> bool:
+    """Whether the shingles of a text have different counts; J_P of two texts without is their Jaccard similarity."""
+    return len(a[1]) > 0 and a[1].min() != a[1].max()
+
+
 def similarity(a: tuple, b: tuple) -> float:
     """The larger of J_P and the Jaccard similarity of the shingle sets."""
     both = len(np.intersect1d(a[0], b[0], assume_unique=True))
@@ -225,9 +231,14 @@ def _verify(params: NearParams):
     return _pairs(params, row, ["a", "b", "similarity"], [pa.binary(), pa.binary(), pa.float64()])
 
 
-DIFFERENCES = "a binary, b binary, label binary, role tinyint, token bigint, at int, size int, words int"
+DIFFERENCES = (
+    "a binary, b binary, label binary, role tinyint, token bigint, at int, size int, words int,"
+    " uneven boolean, distance double, beside double, rest double"
+)
 #: Roles of a difference shingle: of a member linked to the anchor, of one that is not, and of one against its like.
 LINKED, OTHER, OTHERS = 0, 1, 2
+#: Roles for pairs with uneven counts: a member with little beside the anchor, and a shingle beside it.
+NEAR, BESIDE = 3, 4
 
 
 def difference_prefixes(p: np.ndarray, x: np.ndarray, threshold: float) -> tuple[int, list[tuple[int, np.ndarray]]]:
@@ -256,17 +267,51 @@ def difference_prefixes(p: np.ndarray, x: np.ndarray, threshold: float) -> tuple
     return size, [(OTHER, order[: max(0, size - max(1, own) + 1)]), (OTHERS, order[: max(0, size - max(1, like) + 1)])]
 
 
+def beside_anchor(p: tuple, x: tuple, threshold: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Distance 1 - J_P of x and the anchor p, x's share of weight beside p, and (shingles, rests) under which x is filed.
+
+    Let weights sum to one. As sum over e of max(x_e / x_d, y_e / y_d) is at least
+    max(1 / x_d, 1 / y_d), J_P(x, y) <= sum over d of min(x_d, y_d). Let bx be the weight
+    of x on shingles that p lacks. If J_P(x, y) >= t, then, as x and y share at most
+    min(1 - bx, 1 - by) on p's shingles, they share beside p
+
+        s >= max(bx, by) - (1 - t).
+
+    If that is positive they meet in their first common shingle beside p, behind and
+    with which either still has a weight (``rest``) of s. If bx and by are both at most
+    1 - t, the pair meets by the anchor itself; since J_P is the probability that two
+    samples agree, 1 - J_P is a metric, and the distances of x and y to p differ by at
+    most 1 - t.
+    """
+    extra = ~np.isin(x[0], p[0], assume_unique=True)
+    weight = x[1][extra] / x[1].sum()
+    rest = np.cumsum(weight[::-1])[::-1]
+    beside = float(weight.sum())
+    filed = rest >= beside - (1 - threshold) - 1e-9
+    return 1 - probability_jaccard(p, x), beside, x[0][extra][filed], rest[filed]
+
+
 def _differences(params: NearParams):
     def row(a, b, x, y, label):
         size, found = difference_prefixes(x[0], y[0], params.similarity)
-        return [
-            (a, b, label, role, t, at, size, len(y[0]))
+        rows = [
+            (a, b, label, role, t, at, size, len(y[0]), None, None, None, None)
             for role, tokens in found
             for at, t in enumerate(tokens.view(np.int64).tolist())
         ]
+        odd = uneven(y)
+        distance, beside, tokens, rests = beside_anchor(x, y, params.similarity)
+        if beside <= 1 - params.similarity + 1e-9:
+            rows.append((a, b, label, NEAR, 0, None, None, None, odd, distance, beside, None))
+        rows += [
+            (a, b, label, BESIDE, t, None, None, None, odd, distance, beside, rest)
+            for t, rest in zip(tokens.view(np.int64).tolist(), rests.tolist(), strict=True)
+        ]
+        return rows
 
+    names = ["a", "b", "label", "role", "token", "at", "size", "words", "uneven", "distance", "beside", "rest"]
     kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    return _pairs(params, row, ["a", "b", "label", "role", "token", "at", "size", "words"], kinds)
+    return _pairs(params, row, names, [*kinds, pa.bool_(), pa.float64(), pa.float64(), pa.float64()])
 
 
 def _may_share_enough(threshold: float) -> str:
@@ -279,6 +324,15 @@ def _may_share_enough(threshold: float) -> str:
     return f"2 * least(size - at, ysize - yat) >= size + ysize - {c!r}D * (words + ywords) - 1e-9D"
 
 
+def _may_be_alike(threshold: float, role: int) -> str:
+    """The conditions of ``beside_anchor`` on a meeting by the anchor, or in a shingle beside it."""
+    far = f"abs(distance - ydistance) <= {1 - threshold!r}D + 1e-9D"
+    if role == NEAR:
+        return far
+    most = "greatest(beside, ybeside)"
+    return f"{far} and {most} > {1 - threshold!r}D + 1e-9D and least(rest, yrest) >= {most} - {1 - threshold!r}D - 1e-9D"
+
+
 def near_duplicates(
     docs: DataFrame, params: NearParams = NearParams(), *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -372,7 +426,8 @@ def near_duplicates(
     )
     theirs = filed.select(
         "a", "token", F.col("role").alias("yrole"), F.col("b").alias("y"), F.col("label").alias("ly"), F.col("at").alias("yat"),
-        F.col("size").alias("ysize"), F.col("words").alias("ywords"),
+        F.col("size").alias("ysize"), F.col("words").alias("ywords"), F.col("uneven").alias("yuneven"),
+        F.col("distance").alias("ydistance"), F.col("beside").alias("ybeside"), F.col("rest").alias("yrest"),
     )
 
     def meet(own: int, other: int) -> DataFrame:
@@ -380,7 +435,13 @@ def near_duplicates(
         one_way = " and b < y" if own == other else ""
         return met.where(f"label <> ly and {_may_share_enough(params.similarity)}{one_way}").select(F.col("b").alias("x"), "y")
 
-    met = meet(LINKED, OTHER).unionByName(meet(OTHERS, OTHERS))
+    def meet_uneven(role: int) -> DataFrame:
+        """As ``meet``, a member of uneven counts with any other."""
+        met = filed.where((F.col("role") == role) & F.col("uneven")).join(theirs.where(F.col("yrole") == role), ["a", "token"])
+        met = met.where(f"label <> ly and (b < y or not yuneven) and {_may_be_alike(params.similarity, role)}")
+        return met.select(F.col("b").alias("x"), "y")
+
+    met = meet(LINKED, OTHER).unionByName(meet(OTHERS, OTHERS)).unionByName(meet_uneven(NEAR)).unionByName(meet_uneven(BESIDE))
     settle(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
     degree = (
