@@ -185,3 +185,13 @@ def test_the_filter_beside_the_anchor_loses_no_pair():
             rest = dict(zip(ty.tolist(), ry, strict=True))
             assert any(t in rest and min(r, rest[t]) >= max(bx, by) - 0.2 - 1e-9 for t, r in zip(tx.tolist(), rx, strict=True))
     assert found > 20 and beside > 5
+
+
+def test_a_passage_repeated_many_times_still_meets_its_text(spark):
+    rng = random.Random(2)
+    texts = {}
+    for k in range(12):
+        words = [f"w{k}x{rng.randrange(10**6)}" for _ in range(300)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join(words + words[-10:] * 60)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.id: r.group_id for r in nd.near_duplicates(docs).collect()} == {i: i // 2 * 2 for i in texts}

@@ -13,7 +13,8 @@ as its next point is later than the latest register. Registers agree with
 probability J_P.
 
 A pair is a link if its J_P, or the ordinary Jaccard similarity of its shingle sets,
-reaches the threshold.
+reaches the threshold. Each has signatures of its own: a text of uneven counts gets a
+second one, with all weights 1, and the bands of both (with even counts the two are equal).
 
 Plan, in order of size:
 
@@ -182,7 +183,12 @@ def _sketch(params: NearParams):
                     digests.append(_digest(t, words))
                     sets.append(shingles(words, params.words))
                 bands = band_keys(signatures(sets, params.registers, params.seed), params.band)
-                keys += [row.tolist() if len(s[0]) else [] for row, s in zip(bands, sets, strict=True)]
+                own = [row.tolist() if len(s[0]) else [] for row, s in zip(bands, sets, strict=True)]
+                odd = [j for j, s in enumerate(sets) if uneven(s)]
+                even = [(sets[j][0], np.ones(len(sets[j][0]))) for j in odd]
+                for j, row in zip(odd, band_keys(signatures(even, params.registers, params.seed), params.band), strict=True):
+                    own[j] = list(dict.fromkeys(own[j] + row.tolist()))
+                keys += own
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["id", "raw", "digest", "bands"],
