@@ -174,7 +174,8 @@ def test_the_filter_beside_the_anchor_loses_no_pair():
         heavy = {3: rng.choice([150, 300]), 101: rng.choice([20, 100, 300])}
         sets.append((np.array(tokens, np.uint64), np.array([heavy.get(t, 1) for t in tokens], float)))
     p, found, beside = sets[0], 0, 0
-    filed = [nd.beside_anchor(p, x, 0.8) for x in sets]
+    filed = [nd.beside_anchor(p, x) for x in sets]
+    filed = [(d, b, t, np.cumsum(w[::-1])[::-1]) for d, b, t, w in filed]
     for (x, (dx, bx, tx, rx)), (y, (dy, by, ty, ry)) in itertools.combinations(zip(sets, filed, strict=True), 2):
         if nd.probability_jaccard(x, y) < 0.8:
             continue

@@ -53,7 +53,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .graph import components
 from .scratch import Scratch
@@ -239,7 +239,7 @@ def _verify(params: NearParams):
 
 DIFFERENCES = (
     "a binary, b binary, label binary, role tinyint, token bigint, at int, size int, words int,"
-    " uneven boolean, distance double, beside double, rest double"
+    " uneven boolean, distance double, beside double, weight double"
 )
 #: Roles of a difference shingle: of a member linked to the anchor, of one that is not, and of one against its like.
 LINKED, OTHER, OTHERS = 0, 1, 2
@@ -273,8 +273,8 @@ def difference_prefixes(p: np.ndarray, x: np.ndarray, threshold: float) -> tuple
     return size, [(OTHER, order[: max(0, size - max(1, own) + 1)]), (OTHERS, order[: max(0, size - max(1, like) + 1)])]
 
 
-def beside_anchor(p: tuple, x: tuple, threshold: float) -> tuple[float, float, np.ndarray, np.ndarray]:
-    """Distance 1 - J_P of x and the anchor p, x's share of weight beside p, and (shingles, rests) under which x is filed.
+def beside_anchor(p: tuple, x: tuple) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Distance 1 - J_P of x and the anchor p, x's share of weight beside p, and its shingles there with their weights.
 
     Let weights sum to one. As sum over e of max(x_e / x_d, y_e / y_d) is at least
     max(1 / x_d, 1 / y_d), J_P(x, y) <= sum over d of min(x_d, y_d). Let bx be the weight
@@ -283,18 +283,16 @@ def beside_anchor(p: tuple, x: tuple, threshold: float) -> tuple[float, float, n
 
         s >= max(bx, by) - (1 - t).
 
-    If that is positive they meet in their first common shingle beside p, behind and
-    with which either still has a weight (``rest``) of s. If bx and by are both at most
+    If that is positive they meet in their first common shingle beside p, in any common
+    order; with it and behind it either still has a weight (``rest``) of s. Rare shingles
+    come first (see ``rare_first``). If bx and by are both at most
     1 - t, the pair meets by the anchor itself; since J_P is the probability that two
     samples agree, 1 - J_P is a metric, and the distances of x and y to p differ by at
     most 1 - t.
     """
     extra = ~np.isin(x[0], p[0], assume_unique=True)
     weight = x[1][extra] / x[1].sum()
-    rest = np.cumsum(weight[::-1])[::-1]
-    beside = float(weight.sum())
-    filed = rest >= beside - (1 - threshold) - 1e-9
-    return 1 - probability_jaccard(p, x), beside, x[0][extra][filed], rest[filed]
+    return 1 - probability_jaccard(p, x), float(weight.sum()), x[0][extra], weight
 
 
 def _differences(params: NearParams):
@@ -306,16 +304,16 @@ def _differences(params: NearParams):
             for at, t in enumerate(tokens.view(np.int64).tolist())
         ]
         odd = uneven(y)
-        distance, beside, tokens, rests = beside_anchor(x, y, params.similarity)
+        distance, beside, tokens, weights = beside_anchor(x, y)
         if beside <= 1 - params.similarity + 1e-9:
             rows.append((a, b, label, NEAR, 0, None, None, None, odd, distance, beside, None))
         rows += [
-            (a, b, label, BESIDE, t, None, None, None, odd, distance, beside, rest)
-            for t, rest in zip(tokens.view(np.int64).tolist(), rests.tolist(), strict=True)
+            (a, b, label, BESIDE, t, None, None, None, odd, distance, beside, weight)
+            for t, weight in zip(tokens.view(np.int64).tolist(), weights.tolist(), strict=True)
         ]
         return rows
 
-    names = ["a", "b", "label", "role", "token", "at", "size", "words", "uneven", "distance", "beside", "rest"]
+    names = ["a", "b", "label", "role", "token", "at", "size", "words", "uneven", "distance", "beside", "weight"]
     kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     return _pairs(params, row, names, [*kinds, pa.bool_(), pa.float64(), pa.float64(), pa.float64()])
 
@@ -330,6 +328,18 @@ def _may_share_enough(threshold: float) -> str:
     return f"2 * least(size - at, ysize - yat) >= size + ysize - {c!r}D * (words + ywords) - 1e-9D"
 
 
+def rare_first(beside: DataFrame, threshold: float) -> DataFrame:
+    """The BESIDE rows under which members must be filed, with ``rest``: the weight from the shingle on, rare ones first.
+
+    Shingles of one member, or of even ones only, make no pair; they come first or do
+    not count, so they may go before the rests are summed.
+    """
+    met = beside.groupBy("a", "token").agg(F.count("*").alias("n"), F.max("uneven").alias("any"))
+    kept = beside.join(met.where("n > 1 and any"), ["a", "token"])
+    behind = W.partitionBy("a", "b").orderBy(F.desc("n"), F.desc("token")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return kept.withColumn("rest", F.sum("weight").over(behind)).where(f"rest >= beside - {1 - threshold!r}D - 1e-9D")
+
+
 def _may_be_alike(threshold: float, role: int) -> str:
     """The conditions of ``beside_anchor`` on a meeting by the anchor, or in a shingle beside it."""
     far = f"abs(distance - ydistance) <= {1 - threshold!r}D + 1e-9D"
@@ -432,8 +442,7 @@ def near_duplicates(
     )
     theirs = filed.select(
         "a", "token", F.col("role").alias("yrole"), F.col("b").alias("y"), F.col("label").alias("ly"), F.col("at").alias("yat"),
-        F.col("size").alias("ysize"), F.col("words").alias("ywords"), F.col("uneven").alias("yuneven"),
-        F.col("distance").alias("ydistance"), F.col("beside").alias("ybeside"), F.col("rest").alias("yrest"),
+        F.col("size").alias("ysize"), F.col("words").alias("ywords"),
     )
 
     def meet(own: int, other: int) -> DataFrame:
@@ -443,9 +452,13 @@ def near_duplicates(
 
     def meet_uneven(role: int) -> DataFrame:
         """As ``meet``, a member of uneven counts with any other."""
-        met = filed.where((F.col("role") == role) & F.col("uneven")).join(theirs.where(F.col("yrole") == role), ["a", "token"])
-        met = met.where(f"label <> ly and (b < y or not yuneven) and {_may_be_alike(params.similarity, role)}")
-        return met.select(F.col("b").alias("x"), "y")
+        own = filed.where(F.col("role") == role)
+        own = scratch.save(rare_first(own, params.similarity)) if role == BESIDE else own.withColumn("rest", F.lit(1.0))
+        own = own.select("a", "token", "b", "label", "uneven", "distance", "beside", "rest")
+        other = own.select("a", "token", *[F.col(x).alias(f"y{x}") for x in own.columns[2:]])
+        met = own.where("uneven").join(other, ["a", "token"])
+        met = met.where(f"label <> ylabel and (b < yb or not yuneven) and {_may_be_alike(params.similarity, role)}")
+        return met.select(F.col("b").alias("x"), F.col("yb").alias("y"))
 
     met = meet(LINKED, OTHER).unionByName(meet(OTHERS, OTHERS)).unionByName(meet_uneven(NEAR)).unionByName(meet_uneven(BESIDE))
     settle(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
