@@ -115,3 +115,8 @@ def test_conform_refuses_nothing_and_orders(spark):
     df = spark.createDataFrame([("1", 2)], "b string, a int")
     row = conform(df, [("a", "bigint"), ("c", "double"), ("b", "int")]).first()
     assert row.asDict() == {"a": 2, "c": None, "b": 1}
+
+
+def test_every_month_is_listed(spark):
+    months = spark.range(1300).selectExpr("cast(id as int) as year", "1 as month")
+    assert files.object_keys(files.inline(spark, [("a/",)], "prefix string"), months).count() == 1300

@@ -49,3 +49,10 @@ def test_accounting_stops():
     dedupe.account(5, 3, 1, 1)
     with pytest.raises(ValueError):
         dedupe.account(5, 3, 1, 0)
+
+
+def test_more_periods_than_the_bound_are_all_consulted(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(10_050).selectExpr("cast(id as string) as id", "'1' as gen", "id as m").coalesce(1)
+    assert dedupe.exclude_archived(rows, rows, "id", "gen", F.col("m")).count() == 0

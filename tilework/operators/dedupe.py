@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..schema import q
 
+#: So many periods at most go into a filter of the archive's scan.
+MOST_PERIODS = 10_000
+
 
 def latest_by(df: DataFrame, key: Sequence[str] | str, version: str, ties: Sequence[str] = ()) -> DataFrame:
     """One row of each key, the one with the greatest version (null last); ``ties`` make it deterministic.
@@ -53,9 +56,13 @@ def exclude_archived(staged: DataFrame, archive: DataFrame, key: str, version: s
     the archive's scan.
     """
     if period is not None:
-        # Months of one staging run: a handful of values.
-        periods = [r[0] for r in staged.select(period.alias("p")).where("p is not null").distinct().limit(10_000).collect()]
-        archive = archive.where(period.isin(periods)) if periods else archive.limit(0)
+        # Months of one staging run: a handful of values. More than the bound are met by a semi-join instead.
+        found = staged.select(period.alias("_period")).where("_period is not null").distinct()
+        periods = [r[0] for r in found.limit(MOST_PERIODS + 1).collect()]
+        if len(periods) > MOST_PERIODS:
+            archive = archive.withColumn("_period", period).join(found, "_period", "left_semi").drop("_period")
+        else:
+            archive = archive.where(period.isin(periods)) if periods else archive.limit(0)
     held = latest_versions(archive, key, version).select(q(key).alias("_key"), q(version).alias("_held"))
     met = staged.join(held, q(key) == F.col("_key"), "left")
     newer = F.coalesce(q(version) > F.col("_held"), q(version).isNotNull() & F.col("_held").isNull())

@@ -161,7 +161,7 @@ def inline(spark: SparkSession, rows, schema: str) -> DataFrame:
 
 
 def object_keys(prefixes: DataFrame, months: DataFrame) -> DataFrame:
-    """Every prefix with every month: the folders that a discovery lists. Months are a handful of rows."""
-    return prefixes.join(F.broadcast(months.limit(1200))).select(
+    """Every prefix with every month: the folders that a discovery lists."""
+    return prefixes.crossJoin(months).select(
         F.concat_ws("/", F.regexp_replace("prefix", "/+$", ""), F.col("year").cast("string"), F.col("month").cast("string")).alias("folder")
     )
