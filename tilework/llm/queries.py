@@ -120,7 +120,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     count = [F.size(pii.of_kind(spans, k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS]
     base = pii.listed(pii.of_kind(spans, *pii.BASE_KINDS))
-    return found.select("row.doc_id", *count, F.sha2(base, 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+    score = F.coalesce(F.array_max(F.transform(spans, lambda s: s["score"])), F.lit(0.0)).alias("score")
+    added = (F.size(spans) - sum(F.size(pii.of_kind(spans, k)) for k in pii.BASE_KINDS)).cast("bigint").alias("n_added")
+    shown = F.array_join(F.transform(spans, lambda s: F.format_number(s["score"], 2)), ",").alias("scores")
+    return found.select("row.doc_id", *count, F.sha2(base, 256).alias("base_sha256"), pii.listed(spans).alias("spans"), added, score, shown)
 
 
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
