@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data are replaced by the name of their kind; null texts stay null."""
     found = pii.find(docs.select(*COLUMNS), keep=list(COLUMNS))
-    text = F.when(F.col("row.text").isNotNull(), pii.redact(F.col("text"), F.col("spans")))
+    text = F.when(F.col("row.text").isNotNull(), pii.redact("text", "spans"))
     clean = found.select("row", text.alias("text"))
     return clean.select(
         "row.doc_id", "text", "row.lang", "row.source", F.length("text").cast("bigint").alias("n_chars")
