@@ -135,6 +135,68 @@ def test_bundles_round_trip(spark):
             assert warc.read_record(bytes(b.content), entry)["page_id"] == entry.page_id
 
 
+def plain_records(data):
+    """Records of unpacked archives by code of its own: (header fields, body)."""
+    out = []
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        lines = head.decode("ascii").split("\r\n")
+        assert lines[0] == "WARC/1.1"
+        fields = {k.lower(): v for k, v in (line.split(": ", 1) for line in lines[1:])}
+        size = int(fields["content-length"])
+        assert rest[size : size + 4] == b"\r\n\r\n"
+        out.append((fields, rest[:size]))
+        data = rest[size + 4 :]
+    return out
+
+
+def test_records_as_others_read_them(spark):
+    import zstandard
+    from urllib.parse import urlsplit
+
+    urls = {
+        "http://x/a%20b": "http://x/a%20b", "http://x/a b": "http://x/a%20b", "http://x/100%": "http://x/100%25", "http://x/é?q={1}#<f>": "http://x/%C3%A9?q=%7B1%7D#%3Cf%3E",
+        "http://x/%zz%41": "http://x/%25zz%41", "http://[::1]:80/a;b=c,d": "http://[::1]:80/a;b=c,d", "a\r\nWARC-Type: evil": "a%0D%0AWARC-Type:%20evil",
+    }
+    body = "p" * 1500
+    # Page 3 repeats with its payload, page 9 twice as the greatest id; extra columns bear names of the plan.
+    rows = [(i, u, body if i == 3 else f"<{i}>", "x", 1) for i, u in enumerate(urls)]
+    rows += [(3, "http://x/3", body, "x", 1), (9, "http://x/9", body, "x", 1), (9, "http://x/9", body, "x", 1), (5, "v", "q" * 1200, "x", 1), (6, "v", "q" * 1200, "x", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, size int").repartition(3)
+    bundles = warc.write_bundles(warc.plan_records(pages, warc.BundleParams())).collect()
+    found = []
+    for b in bundles:
+        frames = warc.frames_of(bytes(b.content))
+        found += plain_records(b"".join(zstandard.ZstdDecompressor().decompress(bytes(b.content)[a : a + n], max_output_size=m) for a, n, m in frames))
+    assert len(found) == len(rows)
+    names = [f["warc-record-id"] for f, _ in found]
+    assert len(set(names)) == len(names) and all(re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", n) for n in names)
+    shown = {f["x-page-id"]: f["warc-target-uri"] for f, _ in found if int(f["x-page-id"]) in (0, 1, 2, 4)}
+    assert shown == {str(i): list(urls.values())[i] for i in (0, 1, 2, 4)}
+    assert {f["warc-target-uri"] for f, _ in found} >= set(urls.values())
+    assert all(re.fullmatch(r"(?:[!-~])+", f["warc-target-uri"]) and urlsplit(f["warc-target-uri"]) for f, _ in found)
+    by_name = {f["warc-record-id"]: (f, body) for f, body in found}
+    revisits = [f for f, _ in found if f["warc-type"] == "revisit"]
+    assert sorted(f["x-page-id"] for f in revisits) == ["3", "3", "5"]
+    one = next(f for f in revisits if f["x-page-id"] == "5")
+    told, payload = by_name[one["warc-refers-to"]]
+    assert told["x-page-id"] == "6" and payload == b"q" * 1200
+    # Two responses of page 9 hold the payload: its revisits name the page, not one of them.
+    assert all("warc-refers-to" not in f and f["x-refers-to-page"] == "9" for f in revisits if f["x-page-id"] == "3")
+
+
+def test_fetching_records_by_their_ids(spark):
+    params = warc.BundleParams(frame_bytes=1500, bundle_bytes=300)
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    bundles = warc.write_bundles(warc.plan_records(pages, params), params)
+    wanted = spark.createDataFrame([(4,), (9,), (9,), (77,), (None,)], "page_id int")
+    got = {r.page_id: (r.url, bytes(r.payload)) for r in warc.fetch_records(bundles, wanted).collect()}
+    assert got == {4: ("u", b"z" * 2000), 9: ("k: v\r\n\r\n", b"WARC/1.1\r\n\r\n")}
+    broken = bundles.withColumn("entries", F.transform("entries", lambda e: e.withField("page_id", e["page_id"] + 1)))
+    with pytest.raises(Exception, match="index does not name"):
+        warc.read_bundles(broken).collect()
+
+
 def test_any_zstandard_reader_reads_a_bundle(spark, tmp_path):
     import io
 

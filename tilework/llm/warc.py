@@ -14,22 +14,34 @@ reaches every store; ``content`` is a complete ``.warc.zst`` file, and
 Payloads of at least ``least_bytes`` that occur more than once are stored once: the
 record with the greatest id is the response, the others are revisits that name it.
 Only ids and digests are grouped for that; a hot payload is pre-aggregated, and its
-rows are met by a join that can be split.
+rows are met by a join that can be split. Smaller payloads take no part in it.
+
+A target URI is written as RFC 3986 allows it: characters that are not legal are
+percent-encoded, what is already encoded stays; where that changes a URL, a field of its
+own keeps the original. A record is named by a UUID made of its page, its payload and,
+unless others refer to it, its place in the run, so that names do not repeat where page
+ids do.
 
 Defined results: null html is an empty payload, null urls have no target; a null id
 is never referred to as long as another one exists; rows that repeat the greatest id
-are responses each; an empty table gives no bundle; extra columns are not read.
+are responses each, and their revisits name the page but no record; an empty table gives
+no bundle; extra columns are not read. Very long pages are one record each, in a frame of
+their own length; as Spark's cells hold less than 2 GiB, so do records, and every frame's
+size fits the seek table's 32 bits.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
+import uuid
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import col
 
@@ -37,7 +49,7 @@ from pyspark.sql.functions import col
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 BUNDLE = (
     "bundle_id string, content binary,"
-    " entries array<struct<record:bigint,page_id:bigint,frame:int,frame_start:bigint,frame_size:int,start:int,size:int>>"
+    " entries array<struct<record:bigint,page_id:bigint,frame:int,frame_start:bigint,frame_size:bigint,start:bigint,size:bigint>>"
 )
 RECORD = (
     "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint,"
@@ -53,23 +65,44 @@ class BundleParams:
     level: int = 3
 
 
-def record_bytes(page_id, url, digest: str, size: int, refers_to, payload: bytes) -> bytes:
+_PAGES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:page")
+_STRAY = re.compile(r"%(?![0-9A-Fa-f]{2})")
+
+
+def target_uri(url: str) -> str:
+    """The URL with everything encoded that a URI may not hold, and nothing else."""
+    return quote(_STRAY.sub("%25", url), safe="!#$%&'()*+,/:;=?@[]~-._", errors="replace")
+
+
+def record_name(page_id, digest: str, place: str = "") -> str:
+    """``place`` is empty for the one record of a page and payload that revisits refer to."""
+    return f"<urn:uuid:{uuid.uuid5(_PAGES, f'{page_id} {digest} {place}')}>"
+
+
+def record_bytes(page_id, url, digest: str, size: int, refers_to, payload: bytes, name: str, refers_name: str | None = None) -> bytes:
     """One record. A revisit has no body, but the digest and length of the payload it stands for."""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: {name}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {size}",
     ]
+    if page_id is not None:
+        lines.append(f"X-Page-ID: {page_id}")
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~-._ \"<>\\^`{|}"))
+        shown = target_uri(url)
+        lines.append("WARC-Target-URI: " + shown)
+        if shown != url:
+            lines.append("X-Original-URL: " + quote(url, safe="", errors="replace"))
     if refers_to is not None:
         lines += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: <urn:page:{refers_to}>",
+            f"X-Refers-To-Page: {refers_to}",
         ]
+        if refers_name is not None:
+            lines.append(f"WARC-Refers-To: {refers_name}")
         payload = b""
     lines.append(f"Content-Length: {len(payload)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -84,18 +117,19 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
     size = int(fields["Content-Length"])
     payload = data[end + 4 : end + 4 + size]
-    number = lambda x: int(x) if (x := x.removeprefix("<urn:page:").removesuffix(">")) else None
+    number = lambda name: int(fields[name]) if name in fields else None
     response = fields["WARC-Type"] == "response"
     digest = hashlib.sha1(payload).hexdigest() if response else fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if response and fields["WARC-Payload-Digest"] != f"sha1:{digest}":
         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
+    original = fields.get("X-Original-URL")
     return {
-        "page_id": number(fields["WARC-Record-ID"]),
-        "url": unquote(fields["WARC-Target-URI"]) if "WARC-Target-URI" in fields else None,
+        "page_id": number("X-Page-ID"),
+        "url": fields.get("WARC-Target-URI") if original is None else unquote(original),
         "payload_bytes": size if response else int(fields["X-Payload-Length"]),
         "payload_digest": digest,
         "record_type": fields["WARC-Type"],
-        "refers_to": None if response else number(fields["WARC-Refers-To"]),
+        "refers_to": number("X-Refers-To-Page"),
         "payload": payload,
     }, end + 4 + size + 4
 
@@ -174,7 +208,7 @@ def _write(params: BundleParams):
     index = pa.list_(
         pa.struct(
             [("record", pa.int64()), ("page_id", pa.int64()), ("frame", pa.int32()), ("frame_start", pa.int64()),
-             ("frame_size", pa.int32()), ("start", pa.int32()), ("size", pa.int32())]
+             ("frame_size", pa.int64()), ("start", pa.int64()), ("size", pa.int64())]
         )
     )
 
@@ -185,11 +219,16 @@ def _write(params: BundleParams):
         )
 
     def run(batches):
-        bundle = _Bundle(params)
+        bundle, part, count = _Bundle(params), TaskContext.get().partitionId(), 0
         for batch in batches:
             for cells in zip(*batch.columns, strict=True):
-                page_id, url, payload, size, digest, refers_to = (c.as_py() for c in cells)
-                bundle.add(page_id, record_bytes(page_id, url, digest, size, refers_to, payload))
+                page_id, url, payload, size, digest, refers_to, firsts = (c.as_py() for c in cells)
+                # A payload's only record of the greatest id is the one that revisits name.
+                known = firsts == 1
+                name = record_name(page_id, digest, "" if known and refers_to is None else f"{part} {count}")
+                refers_name = record_name(refers_to, digest) if known and refers_to is not None else None
+                bundle.add(page_id, record_bytes(page_id, url, digest, size, refers_to, payload, name, refers_name))
+                count += 1
                 if bundle.start >= params.bundle_bytes:
                     yield made(bundle.row())
         if bundle.entries:
@@ -199,55 +238,80 @@ def _write(params: BundleParams):
 
 
 def plan_records(pages: DataFrame, params: BundleParams, *, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
-    """``page_id, url, payload, size, digest, refers_to`` of every record to be written."""
+    """``page_id, url, payload, size, digest, refers_to, firsts`` of every record to be written.
+
+    ``firsts`` counts the responses of a payload that has revisits, null where it has none.
+    """
     rows = pages.select(
         col(id_col).cast("bigint").alias("page_id"),
         col(url_col).alias("url"),
         F.coalesce(F.encode(html_col, "UTF-8"), F.lit(b"")).alias("payload"),
     )
     rows = rows.withColumn("size", F.octet_length("payload").cast("bigint")).withColumn("digest", F.sha1("payload"))
+    large, small = rows.where(col("size") >= params.least_bytes), rows.where(col("size") < params.least_bytes)
     copies = (
-        rows.where(col("size") >= params.least_bytes)
+        large.groupBy("digest", "page_id")
+        .agg(F.count("*").alias("n"))
         .groupBy("digest")
-        .agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
+        .agg(F.max(F.struct("page_id", "n")).alias("top"), F.sum("n").alias("n"))
         .where("n > 1")
-        .select("digest", "first")
+        .select("digest", col("top.page_id").alias("first"), col("top.n").alias("firsts"))
     )
-    other = (col("size") >= params.least_bytes) & ~col("page_id").eqNullSafe(col("first"))
-    return rows.join(copies, "digest", "left").select(
-        "page_id", "url", "payload", "size", "digest", F.when(other, col("first")).alias("refers_to")
+    names = ["page_id", "url", "payload", "size", "digest"]
+    met = large.join(copies, "digest", "left").select(
+        *names, F.when(~col("page_id").eqNullSafe(col("first")), col("first")).alias("refers_to"), "firsts"
     )
+    alone = F.lit(None).cast("bigint")
+    return met.unionByName(small.select(*names, alone.alias("refers_to"), alone.alias("firsts")))
 
 
 def write_bundles(records: DataFrame, params: BundleParams = BundleParams()) -> DataFrame:
     """``bundle_id, content, entries``; each task packs its own rows and holds one bundle at a time."""
     lean = records.select(
         "page_id", "url", F.when(col("refers_to").isNull(), col("payload")).otherwise(F.lit(b"")).alias("payload"),
-        "size", "digest", "refers_to",
+        "size", "digest", "refers_to", "firsts",
     )
     return lean.mapInArrow(_write(params), BUNDLE)
 
 
-def read_bundles(bundles: DataFrame, payload: bool = True) -> DataFrame:
-    """Every record of every bundle; responses are checked against their digest."""
+def _read(payload: bool):
+    """Records at the places that the index names; a frame is unpacked once for all of its records."""
     names = [x.split()[0] for x in RECORD.split(", ")][: 7 if payload else 6]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
     def run(batches):
         for batch in batches:
-            for cell in batch.column(0):
-                content = cell.as_py()
+            for cell, entries in zip(batch.column(0), batch.column(1), strict=True):
+                content, wanted = cell.as_py(), {}
+                for entry in entries.as_py():
+                    wanted.setdefault(entry["frame_start"], []).append(entry)
                 for start, packed, full in frames_of(content):
-                    frame, at, rows = read_frame(content, start, packed, full), 0, []
-                    while at < len(frame):
-                        record, at = parse_record(frame, at)
+                    if start not in wanted:
+                        continue
+                    frame, rows = read_frame(content, start, packed, full), []
+                    for entry in wanted[start]:
+                        record, end = parse_record(frame, entry["start"])
+                        if end != entry["start"] + entry["size"] or record["page_id"] != entry["page_id"]:
+                            raise ValueError(f"the index does not name the record at {entry['start']}")
                         rows.append(record)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=False)], names=names
                     )
 
-    schema = RECORD if payload else RECORD.rpartition(",")[0]
-    return bundles.select("content").mapInArrow(run, schema)
+    return run, RECORD if payload else RECORD.rpartition(",")[0]
+
+
+def read_bundles(bundles: DataFrame, payload: bool = True) -> DataFrame:
+    """Every record of every bundle, through the index; responses are checked against their digest."""
+    return bundles.select("content", "entries").mapInArrow(*_read(payload))
+
+
+def fetch_records(bundles: DataFrame, wanted: DataFrame, payload: bool = True) -> DataFrame:
+    """The records of the pages whose ids ``wanted`` (``page_id``) lists; only their frames are unpacked."""
+    index = bundles.select("bundle_id", F.explode("entries").alias("entry"))
+    ids = wanted.select(col("page_id").cast("bigint").alias("page_id")).distinct()
+    hits = index.join(ids, col("entry.page_id") == col("page_id"), "left_semi").groupBy("bundle_id").agg(F.collect_list("entry").alias("entries"))
+    return bundles.select("bundle_id", "content").join(hits, "bundle_id").select("content", "entries").mapInArrow(*_read(payload))
 
 
 def export_bundles(bundles: DataFrame, folder: str) -> None:
