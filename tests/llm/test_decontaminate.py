@@ -86,6 +86,35 @@ def test_defined_results(spark):
     assert split.count() == 2
 
 
+def test_short_items(spark):
+    """Items of any length, against plain search: whole words where no edit is allowed, edits beyond."""
+    items = {1: "Is it cold?", 2: "one two three", 3: "a b", 4: "red fox runs on", 5: "word"}
+    texts = ["is it cold", "his it colder", "Is it colder", "so: IS IT, COLD!", "one two thre", "one two three", "a  b", "ba b", "a bb", "x a b x", "red fox runs up", "the red fox run on", "word"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    wanted = spark.createDataFrame(list(items.items()), "item_id int, text string")
+    expected = set()
+    for i, t in enumerate(texts):
+        for j, u in items.items():
+            n, m = dc.normalise(u), dc.normalise(t)
+            budget = int(0.08 * len(n))
+            hit = f" {n} " in f" {m} " if budget == 0 else distance_in(n, m) <= budget
+            if hit and " " in n:
+                expected.add((i, j))
+    got = dc.contaminations(docs, wanted)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == expected and len(expected) == 7
+    assert {r.doc_id for r in dc.clean(docs, wanted).collect()} == set(range(len(texts))) - {i for i, _ in expected}
+    found = {(r.doc_id, r.item_id): (r.start, r.end) for r in got.collect()}
+    assert dc.normalise(texts[9])[slice(*found[9, 3])] == "a b"
+
+
+def test_a_very_long_text_and_repeated_rows(spark):
+    item = "this passage of the test is long enough to hold edits"
+    text = "filler words " * 40_000 + item.replace("long", "lang") + " filler" * 40_000
+    docs = spark.createDataFrame([(1, text, 0), (1, text, 0), (2, "filler " * 80_000, 0)], "doc_id int, text string, distance int")
+    got = dc.contaminations(docs, spark.createDataFrame([(7, item)], "item_id int, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.distance) for r in got] == [(1, 7, 1)] * 2
+
+
 @pytest.mark.parametrize("length, budget", [(40, 3), (41, 0), (100, 9)])
 def test_pieces_cover_the_item(length, budget):
     item = "".join(chr(97 + i % 26) for i in range(length))

@@ -10,12 +10,17 @@ The items are the query set: they are read in blocks of ``block_chars`` characte
 each block goes with the tasks of one pass over the documents, and nothing of the
 documents is gathered anywhere.
 
-Normalisation: lower case, runs of non-word characters become one space. Defined
-results: null and empty texts hold nothing; items shorter than ``min_chars``
-normalised characters are not searched for, since they occur by chance; items
-with equal normalised texts are each reported; extra columns are not read; an
-empty table on either side gives an empty result. Repeated document rows are
-reported once each.
+A document pass costs one scan for each block, so ``block_chars`` trades a worker's
+memory for scans.
+
+Normalisation: lower case, runs of non-word characters become one space. Items of any
+length are searched for. Those too short for an edit (budget 0) must stand between word
+ends, since as parts of longer words they occur by chance; an item of fewer than
+``min_words`` words, a vocabulary entry, is no passage. Defined results: null and empty
+texts hold nothing; very long texts are searched whole, in time proportional to their
+length and the windows found; items with equal normalised texts are each reported; extra
+columns are not read; an empty table on either side gives an empty result. Repeated
+document rows are reported once each; of equally near occurrences the first found stands.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ _WORD = regex.compile(r"\w+")
 @dataclass(frozen=True)
 class EditParams:
     rate: float = 0.08
-    min_chars: int = 40
+    min_words: int = 2
     block_chars: int = 1_000_000
 
 
@@ -107,6 +112,11 @@ class Searcher:
             kept[k] = Myers(text[::-1] if back else text)
         return kept[k]
 
+    @staticmethod
+    def _whole(item: str, text: str) -> int:
+        """Where the item first stands between word ends of a normalised text, or -1."""
+        return f" {text} ".find(f" {item} ")
+
     def find(self, text: str) -> list[tuple]:
         """``(item ids, distance, start, end)`` of the best occurrence of each item in a normalised text."""
         windows: dict[int, list] = {}
@@ -124,10 +134,10 @@ class Searcher:
         for k, own in windows.items():
             item, budget, ids = self.items[k]
             best = None
-            at = text.find(item)
+            at = self._whole(item, text) if budget == 0 else text.find(item)
             if at >= 0:
                 best = (0, at, at + len(item))
-            else:
+            elif budget:
                 for a, b in own:
                     distance, end = self._myers(k, False).best(text[a:b])
                     if distance <= budget and (best is None or distance < best[0]):
@@ -144,7 +154,7 @@ def _blocks(items: DataFrame, params: EditParams):
     size = 0
     for row in items.toLocalIterator():
         text = normalise(row[1])
-        if len(text) < params.min_chars:
+        if not text or text.count(" ") + 1 < params.min_words:
             continue
         if size + len(text) > params.block_chars and block:
             yield list(block.items())
