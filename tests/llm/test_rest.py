@@ -38,7 +38,7 @@ TREE = [
 
 def read(df):
     return df.select(
-        "tree", "leaf", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")
+        "tree", "leaf", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text("formatted", "loss_spans").alias("loss")
     ).collect()
 
 
@@ -72,8 +72,37 @@ def test_no_messages(spark):
 
 
 def test_chat_is_native(spark):
-    plan = queries.op4_chat(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    df = queries.op4_chat(spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)
+    assert "Python" not in df._jdf.queryExecution().toRdd().toDebugString()
+
+
+def test_chains_number_rows_as_one_sort_would(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, None]), rng.choice([None, -3, 0, 5, 9, 10, 11, 40, 41, 2**40]), rng.choice("ab"), rng.choice(["x", "y", None, "x" * 20_000]), 7, 7) for _ in range(400)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, node int, tree int")
+    for block in (1, 10, 4096):
+        got = {}
+        for r in chat.chains(docs, block=block).collect():
+            got.setdefault(r.conv_id, []).append((r.node, r.parent, r.turn, r.role, r.text))
+        assert sorted(map(str, got)) == ["1", "2", "None"]
+        for conv, have in got.items():
+            have.sort(key=lambda x: x[0])
+            first = lambda v: (v is not None, v if v is not None else 0)  # noqa: E731  nulls first
+            want = sorted((r[1:4] for r in rows if r[0] == conv), key=lambda r: (first(r[0]), r[1], r[2] is not None, r[2] or ""))
+            assert [x[2:] for x in have] == want and [x[0] for x in have] == list(range(1, len(want) + 1))
+            assert [x[1] for x in have] == [None, *range(1, len(want))]
+
+
+def test_long_texts_and_clashing_columns_in_chat(spark):
+    long = "\\<#" * 50_000 + "😀"
+    rows = [("t", 1, None, "user", long, 0.0, 1), ("t", 2, 1, "assistant", long, 0.0, 1), ("t", 3, 2, "user", "x", 0.0, 1), ("t", 4, 3, "assistant", long, 0.0, 1)]
+    docs = spark.createDataFrame(rows, MESSAGES + ", leaf int").withColumn("at", F.lit(1)).withColumn("up", F.lit(2)).withColumn("start", F.lit(3))
+    got = read(chat.format_trees(docs))
+    assert len(got) == 1 and [t.text for t in got[0].turns] == [long, long, "x", long] and got[0].loss == long + long
 
 
 # ---- URL rules ----

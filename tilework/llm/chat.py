@@ -16,7 +16,9 @@ Defined results: null text and null role count as empty; a parent that does not
 makes its child a root; messages in a cycle, or below one, have no root and so no
 path; repeated messages (equal tree and message id) are kept once, the one least by
 role and text; equal scores are ranked by message id of the leaf; an empty table gives
-an empty result; extra columns are not read.
+an empty result; extra columns are not read, whatever their names. Very long texts are
+kept whole, and a very long conversation is read back in nearly linear time; one
+conversation must fit one cell (2 GiB), and is put together in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from . import cuts
 from .scratch import Scratch
 
 # Fixed values of the template.
@@ -49,6 +52,28 @@ class ChatParams:
     trained_role: str = "assistant"
 
 
+def chains(rows: DataFrame, *, tree: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text", block: int = 4096) -> DataFrame:
+    """Rows as messages, each of which replies to the one before it by order, role and text: adds ``node`` and ``parent``.
+
+    Null places come first. Rows are numbered within blocks of ``block`` places of a
+    conversation, and blocks by a running sum of their sizes, so that no task sorts a long
+    conversation; only rows that share one place are sorted together. Repeated rows are
+    messages of their own.
+    """
+    # As a struct, a null conversation is equal to itself in the join.
+    kept = rows.select(F.struct(F.col(tree).alias("k")).alias("tree"), F.col(order).alias("place"), F.col(role).alias("role"), F.col(text).alias("text"))
+    kept = kept.withColumn("block", F.struct(F.floor(F.col("place") / block).cast("bigint").alias("b")))
+    sizes = kept.groupBy("tree", "block").agg(F.count("*").alias("n"))
+    before = W.partitionBy("tree").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("tree", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    number = F.row_number().over(W.partitionBy("tree", "block").orderBy("place", "role", "text"))
+    placed = kept.withColumn("number", number).join(starts, ["tree", "block"]).withColumn("node", F.col("start") + F.col("number"))
+    return placed.select(
+        F.col("tree.k").alias(tree), F.col("place").alias(order), F.col("role").alias(role), F.col("text").alias(text), "node",
+        F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"),
+    )
+
+
 def paths(messages: DataFrame, params: ChatParams, scratch: Scratch) -> DataFrame:
     """``tree, leaf, node, at``: the chosen paths, ``at`` being the distance from the leaf.
 
@@ -166,7 +191,8 @@ def read_turns(formatted: Column) -> Column:
     return F.when(F.size(shown) > 1, read).otherwise(F.array().cast(kind))
 
 
-def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between the spans."""
-    cut = F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"])))
-    return F.array_join(cut, "")
+def loss_text(formatted: str, spans: str) -> Column:
+    """All text under the loss mask ``spans`` of the column ``formatted``, unescaped, nothing between the spans."""
+    cut = f"transform({spans}, s -> {cuts.between('pieces', 's.start', 's.end')})"
+    # Escapes do not reach over the end of a text, so all texts can be unescaped at once.
+    return unescape(F.expr(cuts.let("pieces", cuts.chunks(formatted), f"array_join({cut}, '')")))

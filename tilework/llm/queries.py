@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import byte_bpe, chat, decontaminate, fingerprint, lang_id, near_dedup, pii, quality, url_rules, warc
 from .scratch import Scratch
@@ -64,17 +64,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    control = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    text = CONTROL_TEXT.replace("\\", "\\\\")
+    control = spark.sql(f"select * from values (-7L, 0L, 'user', '{text}'), (-7L, 1L, 'assistant', '{text}') as t(conv_id, turn, role, text)")
     # Each turn replies to the one before it; rows that share a turn follow each other by role and text.
-    order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    messages = rows.unionByName(control).withColumn("node", F.row_number().over(order))
-    messages = messages.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
-    made = chat.format_trees(messages)
+    made = chat.format_trees(chat.chains(rows.unionByName(control)))
     read = made.select(
         F.col("tree").alias("conv_id"),
         "formatted",
         chat.read_turns(F.col("formatted")).alias("turns"),
-        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        chat.loss_text("formatted", "loss_spans").alias("loss"),
     )
     told = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
@@ -103,7 +101,8 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    listed = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"select * from values {listed} as t(host, path, verdict)")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
