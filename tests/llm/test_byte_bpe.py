@@ -66,3 +66,23 @@ def test_ranks_must_be_consecutive(tmp_path):
     (tmp_path / "r").write_bytes(b"YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError):
         byte_bpe.read_ranks(str(tmp_path / "r"))
+
+
+def test_every_code_point(both):
+    """Splitting and ids of all of Unicode, assigned or not, in front of, behind and between letters, digits and signs."""
+    own, known = both
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 64):
+        text = " ".join(f"a{c}1{c}, {c}b{c}{c}" for c in points[i : i + 64])
+        assert ids(own.encode(text)) == known.encode_ordinary(text), hex(ord(points[i]))
+
+
+def test_empty_table_repeated_rows_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "two words", b"x", "n"), (1, "two words", b"x", "n"), (None, None, None, None), (2, "é" * 300_000, b"", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids binary, decoded string")
+    got = docs.select("doc_id", byte_bpe.encode_and_decode(PATH, PATTERN, F.col("text")).alias("b")).collect()
+    back = sorted((str(r.doc_id), bytes(r.b.decoded).decode()) for r in got)
+    assert back == [("1", "two words")] * 2 + [("2", "é" * 300_000), ("None", "")]
+    assert docs.limit(0).select(byte_bpe.encode_and_decode(PATH, PATTERN, F.col("text"))).count() == 0

@@ -9,8 +9,9 @@ through SentencePiece's merges, which pick the highest score (lowest rank) first
 Decoding is the inverse table. Ids travel as packed little-endian unsigned 32-bit
 integers, the form in which training shards store them.
 
-Defined results: null and empty text give no ids and decode to no bytes.
-Extra columns pass through a struct and cannot clash.
+Defined results: null and empty text give no ids and decode to no bytes; very long
+texts are encoded whole, match by match; repeated rows are encoded each; an empty table
+gives an empty result. Only the text is read, so the names of other columns do not matter.
 """
 
 from __future__ import annotations
