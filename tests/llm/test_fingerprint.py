@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tilework.llm import fingerprint as fp
 
@@ -85,3 +86,21 @@ def test_repeated_rows_single_rows_and_none(spark):
     assert row.edited_sha256 == hashlib.sha256(b"aba").hexdigest() and row.near_next == 1.0
     assert fp.successor_fingerprints(one.unionByName(one)).count() == 2
     assert fp.successor_fingerprints(one.limit(0)).count() == 0
+
+
+def test_colliding_digests_end_the_growth():
+    """Two equal digests in one version cancel out in any sketch; the pair is then compared directly."""
+    params = fp.SketchParams()
+    a, b = np.array([5, 5, 9, 11], np.uint64), np.array([9, 12], np.uint64)
+    owners = np.zeros(4, np.int64), np.zeros(2, np.int64)
+    differ, found = fp.differences(owners[0], a, owners[1], b, 1, params)
+    assert differ.tolist() == [4]
+    keys, signs = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+    assert sorted(zip(keys.tolist(), signs.tolist())) == [(5, 1), (5, 1), (11, 1), (12, -1)]
+
+
+def test_clashing_columns_and_a_very_long_text(spark):
+    rows = [(2, "One. " * 200_000, 1, "b"), (1, "Two. Three.", 2, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bucket int, copy string").withColumn("place", F.lit(3))
+    got = {r.doc_id: r for r in fp.successor_fingerprints(docs).collect()}
+    assert {i: r.n_chars for i, r in got.items()} == {2: 1_000_000, 1: 11} and got[2].near_next < 0.01

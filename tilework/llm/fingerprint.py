@@ -7,7 +7,9 @@ three sub-tables; a cell keeps a count, the exclusive-or of its digests and the
 exclusive-or of their checks. Subtracting two sketches cell by cell leaves only
 the paragraphs in which the versions differ, and peeling single-digest cells
 recovers them. A sketch too small for the difference fails to peel; then both
-versions are sketched again, four times as large, until it succeeds.
+versions are sketched again, four times as large, until it succeeds. Sketches of
+``most_cells`` cells for each paragraph peel unless two digests of one text collide;
+those few pairs are compared digest by digest.
 
 The likeness of two versions is the Jaccard similarity of their paragraph
 multisets, computed from the recovered difference d and the two sizes:
@@ -15,8 +17,8 @@ multisets, computed from the recovered difference d and the two sizes:
 
 Defined results: null text counts as empty; repeated rows are separate documents
 that follow each other; ids that are null come last in descending order; an empty
-table gives an empty result; a single document is followed by itself. Extra
-columns are not read.
+table gives an empty result; a single document is followed by itself; very long texts
+are sketched whole. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ _PARAGRAPH = regex.compile(r"[^\n.!?]*[\n.!?]+|[^\n.!?]+")
 class SketchParams:
     cells: int = 18  # of the fingerprint; a multiple of 3
     grow: int = 4
+    most_cells: int = 64  # for each paragraph of the two versions
     long_paragraph: int = 200
     chunk: int = 96  # documents that are sketched together
 
@@ -159,6 +162,13 @@ class Sketches:
         return f"{size:x}." + base64.b64encode(data).decode()
 
 
+def _direct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The digests in which two multisets differ, and on which side they are."""
+    keys, which = np.unique(np.concatenate([a, b]), return_inverse=True)
+    surplus = np.bincount(which, np.concatenate([np.ones(len(a)), -np.ones(len(b))]), len(keys)).astype(np.int64)
+    return np.repeat(keys, np.abs(surplus)), np.repeat(np.sign(surplus), np.abs(surplus)).astype(np.int32)
+
+
 def differences(
     owner_a: np.ndarray, a: np.ndarray, owner_b: np.ndarray, b: np.ndarray, count: int, params: SketchParams,
     first: tuple[Sketches, Sketches] | None = None,
@@ -167,7 +177,16 @@ def differences(
     out = np.full(count, -1, np.int64)
     recovered: list[tuple] = []
     todo, m = np.arange(count), params.cells
+    sizes = np.bincount(owner_a, minlength=count) + np.bincount(owner_b, minlength=count)
     while len(todo):
+        stuck = todo[(m > params.cells) & (m > params.most_cells * sizes[todo])]
+        for i in stuck:
+            keys, signs = _direct(a[owner_a == i], b[owner_b == i])
+            out[i] = len(keys)
+            recovered.append((np.full(len(keys), i), keys, signs))
+        todo = np.setdiff1d(todo, stuck)
+        if not len(todo):
+            break
         if m == params.cells and first is not None:
             delta = first[0].minus(first[1])
         else:
