@@ -278,6 +278,83 @@ def test_quality_defined_results(spark):
     assert quality.classify(docs).count() == 6 and quality.classify(docs.limit(0)).count() == 0
 
 
+def plain_votes(text):
+    """The labellers, one by one, over strings."""
+    import unicodedata
+
+    words = text.split()
+    n = len(words)
+    if not n:
+        return (2,) * 9
+    near = lambda v, good, bad: 1 if v <= good else 0 if v >= bad else 2
+    kind = [unicodedata.category(c) for c in text]
+    odd = sum(k[0] not in "LNMZC" and not c.isspace() and c not in ".,;:'\"()?!’-" for k, c in zip(kind, text, strict=True))
+    letters = sum(k[0] == "L" for k in kind)
+    lower = ["".join(x if len(x := c.lower()) == 1 else c for c in w) for w in words]
+    same = [a == b for a, b in zip(lower, lower[1:])]
+    longest = run = 0
+    for s in same:
+        run = run + 1 if s else 0
+        longest = max(longest, run)
+    bare = lambda w: "".join(c for c in w if c not in ".,;:!?")
+    most = max(lower.count(w) for w in set(lower))
+    ended = sum(w[-1] in ".!?" for w in lower) / n
+    return (
+        near(odd / len(text), 0.02, 0.08), near(sum(k == "Lu" for k in kind) / letters, 0.2, 0.5) if letters else 2,
+        near(most / n, 0.12, 0.25) if n >= 20 else 2, near(sum(same) / n, 0.05, 0.2) if n >= 20 else 2,
+        near(-sum(bare(w) in quality.FUNCTION_WORDS for w in lower) / n, -0.08, -0.02) if n >= 20 else 2,
+        (1 if 0.01 <= ended <= 0.5 else 0) if n >= 20 else 2,
+        1 if 2.5 <= sum(map(len, words)) / n <= 9 else 0,
+        near(sum(not any(unicodedata.category(c)[0] in "LN" for c in w) for w in words) / n, 0.02, 0.1),
+        near(longest, 2, 6) if n >= 20 else 2,
+    )
+
+
+def test_quality_against_brute_force(spark):
+    """Votes over strings, expectation-maximisation over documents, and the posterior of every one."""
+    import math
+
+    rows = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows |= {-1: "𝐀𝐁𝐂 𝔞𝔟 word 😀 𐐀𐐁 " * 9, -2: "x" * 9000 + " " + "x" * 8999 + "y", -3: ""}
+    votes = {i: plain_votes(t) for i, t in rows.items()}
+    assert votes == {i: quality.votes(quality.Words(t)) for i, t in rows.items()}
+    p = {i: min(0.95, max(0.05, 1 - v.count(0) / 2)) for i, v in votes.items()}
+    for _ in range(200):
+        good, bad = sum(p.values()), len(p) - sum(p.values())
+        clip = lambda x: min(1 - 1e-3, max(1e-3, x))
+        rates = []
+        for k in range(9):
+            heard = [i for i, v in votes.items() if v[k] != 2]
+            yes = [i for i in heard if votes[i][k] == 1]
+            rates.append((
+                clip((sum(p[i] for i in yes) + 0.9) / (sum(p[i] for i in heard) + 1)), clip((sum(1 - p[i] for i in yes) + 0.5) / (sum(1 - p[i] for i in heard) + 1)),
+            ))
+        prior, before = clip(good / (good + bad)), p
+        p = {}
+        for i, v in votes.items():
+            a = math.log(prior) + sum(math.log(g if x == 1 else 1 - g) for x, (g, _) in zip(v, rates, strict=True) if x != 2)
+            b = math.log(1 - prior) + sum(math.log(h if x == 1 else 1 - h) for x, (_, h) in zip(v, rates, strict=True) if x != 2)
+            p[i] = 1 / (1 + math.exp(min(700, max(-700, b - a))))
+        if max(abs(p[i] - before[i]) for i in p) < 1e-9:
+            break
+    got = quality.classify(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(abs(r.posterior - p[r.id]) < 1e-6 for r in got)
+
+
+def test_long_words_are_hashed_whole():
+    a, b = quality.Words("x" * 9000 + "yx"), quality.Words("x" * 9000 + "xy")
+    assert a.hashes[0] != b.hashes[0]
+    # The hash of a word does not depend on the others.
+    assert quality.Words("k " + "x" * 9000).hashes[1] == quality.Words("x" * 9000).hashes[0]
+
+
+def test_quality_clashing_columns_and_ties(spark):
+    rows = [(1, "The same text of plain words.", 9, 0.5, "k")] * 3 + [(2, "The same text of plain words.", 8, 0.1, "m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pattern int, score double, number string")
+    got = quality.classify(docs).collect()
+    assert len(got) == 4 and len({(r.posterior, r.score, r.keep) for r in got}) == 1
+
+
 # ---- pipeline ----
 
 def test_pipeline_against_brute_force(spark):

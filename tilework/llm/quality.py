@@ -9,8 +9,9 @@ hashed words and word shapes is trained on the posteriors of a bounded sample an
 scores every document.
 
 Defined results: null, empty and blank texts get no vote, the prior as posterior,
-score 0 and are not kept; repeated rows are scored each; extra columns are not read;
-an empty table gives an empty result.
+score 0 and are not kept; repeated rows are scored each; very long texts and words are
+read whole; equal votes give equal posteriors, and scores at ``keep_at`` are kept; extra
+columns are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -57,24 +58,41 @@ def _vote(value: float, good: float, bad: float) -> int:
 SPACE, PLAIN, LETTER, CAPITAL, DIGIT, ODD = range(6)
 
 
+def _class_of(c: str) -> int:
+    kind = unicodedata.category(c)
+    if c.isspace():
+        return SPACE
+    if kind == "Lu":
+        return CAPITAL
+    if kind[0] == "L":
+        return LETTER
+    if kind[0] == "N":
+        return DIGIT
+    return PLAIN if kind[0] in "MZC" or c in ".,;:'\"()?!’-" else ODD
+
+
+def _lower_of(c: str) -> int:
+    return ord(x) if len(x := c.lower()) == 1 else ord(c)
+
+
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Class and lower case of each character of the basic plane; those beyond it are looked up as its last one."""
-
-    def of(c: str) -> int:
-        kind = unicodedata.category(c)
-        if c.isspace():
-            return SPACE
-        if kind == "Lu":
-            return CAPITAL
-        if kind[0] == "L":
-            return LETTER
-        if kind[0] == "N":
-            return DIGIT
-        return PLAIN if kind[0] in "MZC" or c in ".,;:'\"()?!’-" else ODD
-
+    """Class and lower case of each character of the basic plane."""
     plane = [chr(i) for i in range(0x10000)]
-    return np.array([of(c) for c in plane], np.uint8), np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in plane], np.uint32)
+    return np.array([_class_of(c) for c in plane], np.uint8), np.array([_lower_of(c) for c in plane], np.uint32)
+
+
+def _looked_up(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower case of each character; the few beyond the basic plane one by one."""
+    classes, lower = _tables()
+    at = np.minimum(codes, 0xFFFF)
+    kind, low = classes[at], lower[at]
+    beyond = codes > 0xFFFF
+    if beyond.any():
+        found, which = np.unique(codes[beyond], return_inverse=True)
+        kind[beyond] = np.array([_class_of(chr(c)) for c in found], np.uint8)[which]
+        low[beyond] = np.array([_lower_of(chr(c)) for c in found], np.uint32)[which]
+    return kind, low
 
 
 _STOPS = np.array([ord(c) for c in ".,;:!?"], np.uint32)
@@ -82,10 +100,20 @@ _STOPS = np.array([ord(c) for c in ".,;:!?"], np.uint32)
 
 @lru_cache(1)
 def _powers() -> np.ndarray:
-    """Multipliers of the places of a word; places from the 4096th on share one."""
+    """Multipliers of the first 4096 places of a word."""
     return np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
 
 
+def _multipliers(place: np.ndarray) -> np.ndarray:
+    """The multiplier of each place: a power of one odd number."""
+    near = _powers()[place & 4095]
+    if place.max() < 4096:
+        return near
+    steps = np.full(int(place.max() >> 12) + 1, _powers()[-1], np.uint64)
+    steps[0] = 1
+    return near * np.cumprod(steps)[place >> 12]
+
+
 def _hashes(codes: np.ndarray, word: np.ndarray, count: int) -> np.ndarray:
     """A 64-bit hash of each word's characters; ``word`` names, in order, the word of each character."""
     out = np.zeros(count, np.uint64)
@@ -93,7 +121,7 @@ def _hashes(codes: np.ndarray, word: np.ndarray, count: int) -> np.ndarray:
         return out
     starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
-    terms = (codes.astype(np.uint64) + np.uint64(1)) * _powers()[np.minimum(place, 4095)]
+    terms = (codes.astype(np.uint64) + np.uint64(1)) * _multipliers(place)
     h = np.add.reduceat(terms, starts)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     out[word[starts]] = h ^ (h >> np.uint64(33))
@@ -111,9 +139,7 @@ class Words:
 
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-        at = np.minimum(codes, 0xFFFF)
-        classes, lower = _tables()
-        kind = classes[at]
+        kind, low = _looked_up(codes)
         self.kinds = np.bincount(kind, minlength=6)
         self.chars = len(codes)
         inside = kind != SPACE
@@ -122,7 +148,7 @@ class Words:
         if not self.count:
             return
         word = (np.cumsum(first) - 1)[inside]
-        kind, low = kind[inside], np.where(codes > 0xFFFF, codes, lower[at])[inside]
+        kind, low = kind[inside], low[inside]
         self.length = np.bincount(word, minlength=self.count)
         self.hashes = _hashes(low, word, self.count)
         letter = (kind == LETTER) | (kind == CAPITAL)
