@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tilework.llm import near_dedup as nd
 
@@ -196,3 +197,83 @@ def test_a_passage_repeated_many_times_still_meets_its_text(spark):
         texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join(words + words[-10:] * 60)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.id: r.group_id for r in nd.near_duplicates(docs).collect()} == {i: i // 2 * 2 for i in texts}
+
+
+def plain_groups(texts: dict) -> dict:
+    """Groups by code of its own: shingles are tuples of words, all pairs of different texts are compared."""
+    import collections
+    import re
+
+    words = {i: re.findall(r"\w+", (t or "").lower()) for i, t in texts.items()}
+    key = {i: tuple(w) if w else ("\0", texts[i] or "") for i, w in words.items()}
+    first = {}
+    for i in sorted(texts):
+        first.setdefault(key[i], i)
+    bags = {i: collections.Counter(tuple(words[i][k : k + 5]) for k in range(max(1, len(words[i]) - 4))) for i in first.values() if words[i]}
+    parent = {i: i for i in first.values()}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in itertools.combinations(sorted(bags), 2):
+        a, b = bags[x], bags[y]
+        both = a.keys() & b.keys()
+        if not both:
+            continue
+        alike = len(both) / len(a.keys() | b.keys()) >= 0.8 - 1e-12
+        if not alike and (len(set(a.values())) > 1 or len(set(b.values())) > 1):
+            pairs = collections.Counter((a.get(e, 0), b.get(e, 0)) for e in a.keys() | b.keys())
+            total = sum(n / sum(m * max(p / u, q / v) for (p, q), m in pairs.items()) for (u, v), n in pairs.items() if u and v)
+            alike = total >= 0.8 - 1e-12
+        if alike:
+            parent[max(root(x), root(y))] = min(root(x), root(y))
+    return {i: root(first[key[i]]) for i in texts}
+
+
+def test_against_code_that_shares_nothing(spark):
+    texts = corpus(8)
+    # Pairs alike by probability Jaccard alone, in one large bucket: a line 21 times, then words of a pair and of a text.
+    for k in range(40):
+        for j in range(2):
+            own = [f"s{k}x{i}" for i in range(3)] + [f"o{k}y{j}z{i}" for i in range(11)]
+            texts[1000 + 2 * k + j] = " ".join("ma mb mc md me".split() * 21 + own)
+    want = plain_groups(texts)
+    assert all(want[1000 + 2 * k] == want[1001 + 2 * k] == 1000 + 2 * k for k in range(40))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.id: r.group_id for r in nd.near_duplicates(docs).collect()} == want
+    # The same where no bucket is hot.
+    got = nd.near_duplicates(docs, nd.NearParams(small=3, hot_share=1)).collect()
+    assert {r.id: r.group_id for r in got} == want
+
+
+def test_a_common_passage_does_not_pair_all_who_hold_it(spark):
+    """Members that share a template and a passage that their anchor lacks, but nothing else: no square of them meets."""
+    from tilework.llm.scratch import Scratch
+
+    rng = random.Random(6)
+    template = [f"t{i}" for i in range(60)]
+    passage = [f"p{i}" for i in range(30)]
+    texts = [" ".join(template + [f"a{i}" for i in range(40)])]
+    texts += [" ".join(template + passage + [f"m{k}w{rng.randrange(10**6)}" for _ in range(40)]) for k in range(300)]
+    texts += [texts[k] + f" more{k}" for k in range(1, 11)]  # ten links
+    sets = [nd.shingles(nd.words_of(t), 5) for t in texts]
+    pairs = [(b"%04d" % 0, b"%04d" % k, texts[0], texts[k], b"%04d" % k) for k in range(1, len(texts))]
+    rows = spark.createDataFrame(pairs, "a binary, b binary, ta string, tb string, label binary")
+    params = nd.NearParams()
+    filed = rows.mapInArrow(nd._differences(params), nd.DIFFERENCES).cache()
+    met = {(int(bytes(r.a)), int(bytes(r.b))) for r in nd.meetings(filed, params, Scratch(spark, "test")).collect()}
+    met = {tuple(sorted(p)) for p in met}
+    links = {(x, y) for x, y in itertools.combinations(range(1, len(texts)), 2) if nd.similarity(sets[x], sets[y]) >= 0.8}
+    assert len(links) == 10 and links <= met and len(met) < 3 * len(texts)
+
+
+def test_clashing_columns_long_texts_and_ties(spark):
+    long = " ".join(f"w{i % 5000}" for i in range(60_000))
+    rows = [(1, long, 0, "k", 1), (2, long + " end", 0, "k", 1), (3, "a b c d e f", 0, "k", 1), (3, "a b c d e f", 0, "k", 1), (4, "A, b C d e f!", 0, "k", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int, key string, copies int").withColumn("group", F.lit("digest"))
+    got = {r.id: (r.group_id, r.class_id, r.copies) for r in nd.near_duplicates(docs).collect()}
+    assert got == {1: (1, 1, 1), 2: (1, 2, 1), 3: (3, 3, 3), 4: (3, 3, 3)}
+    kept = nd.keep_representatives(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]

@@ -25,14 +25,19 @@ Plan, in order of size:
    into all its pairs. Its members are verified against one anchor, first the member
    that shares most buckets with others (in a family of copies that is one close to
    the original), then another one; connected components are formed after each
-   round, and only buckets that still hold several components go on;
+   round, and only buckets that still hold several components go on. Buckets of more
+   than a 10,000th of all band keys (there are at most 10,000 of those) meet what belongs
+   to them by broadcast, so no task reads a whole family; the others are shuffled;
 4. buckets of at most ``small`` members are finished by their remaining pairs, which
    is linear in the members;
 5. larger ones are finished without enumerating them, through the differences of
    their members from the anchor (see ``_differences``): members that are alike but
    not both linked to the anchor must share many of the shingles in which they differ
-   from it, so they meet in an equi-join on a short prefix of those;
-6. verification computes the similarity from both whole texts.
+   from it, so they meet in an equi-join on a short prefix of those, the shingles that
+   few members have coming first: what many have in common (a passage, a template)
+   brings two members together only if they may share enough beside it;
+6. verification computes the similarity from both whole texts. A text that many others
+   are verified against is met by joins that can be split (adaptive skew joins).
 
 Families of near-copies thus cost their members times the bands, not their square.
 Steps 4 and 5 lose no link of a bucket. Among members of uneven counts that hold little
@@ -42,7 +47,9 @@ differ by no more than a link allows.
 Defined results: null text counts as empty. Texts without a word have one class for
 each distinct text. Texts with fewer words than a shingle are one shingle. A class
 is named by its least id, nulls last; rows that repeat an id and a text are one
-member each. Extra columns are not read.
+member each; ties between anchors go to the greater digest; very long texts are read
+whole; an empty table gives an empty result. Extra columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -70,6 +77,7 @@ class NearParams:
     band: int = 5  # registers a band; at 0.8 a pair shares no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6
     anchor_rounds: int = 2
     small: int = 8
+    hot_share: int = 10_000  # a key with more than one in so many of all band rows is hot; at most so many keys are
     seed: int = 7
 
     @property
@@ -238,12 +246,13 @@ def _verify(params: NearParams):
 
 
 DIFFERENCES = (
-    "a binary, b binary, label binary, role tinyint, token bigint, at int, size int, words int,"
+    "a binary, b binary, label binary, kind tinyint, token bigint, size int, words int, need int, like int,"
     " uneven boolean, distance double, beside double, weight double"
 )
 #: Roles of a difference shingle: of a member linked to the anchor, of one that is not, and of one against its like.
 LINKED, OTHER, OTHERS = 0, 1, 2
-#: Roles for pairs with uneven counts: a member with little beside the anchor, and a shingle beside it.
+#: Kinds of row: a shingle in which a member differs from the anchor (LINKED or OTHER); for pairs with uneven counts,
+#: a member with little beside the anchor, and a shingle beside it.
 NEAR, BESIDE = 3, 4
 
 
@@ -298,34 +307,55 @@ def beside_anchor(p: tuple, x: tuple) -> tuple[float, float, np.ndarray, np.ndar
 def _differences(params: NearParams):
     def row(a, b, x, y, label):
         size, found = difference_prefixes(x[0], y[0], params.similarity)
-        rows = [
-            (a, b, label, role, t, at, size, len(y[0]), None, None, None, None)
-            for role, tokens in found
-            for at, t in enumerate(tokens.view(np.int64).tolist())
+        # A prefix of n of size shingles stands for size - n + 1 that must be shared.
+        (kind, prefix), *other = found
+        need = size - len(prefix) + 1
+        like = size - len(other[0][1]) + 1 if other else None
+        extra, missing = np.setdiff1d(y[0], x[0], assume_unique=True), np.setdiff1d(x[0], y[0], assume_unique=True)
+        tokens = np.concatenate([extra, _mix(missing)])  # mixed: a missing shingle is not the same as an extra one
+        rows = [] if min(need, like or need) > size else [
+            (a, b, label, kind, t, size, len(y[0]), need, like, None, None, None, None) for t in tokens.view(np.int64).tolist()
         ]
         odd = uneven(y)
         distance, beside, tokens, weights = beside_anchor(x, y)
         if beside <= 1 - params.similarity + 1e-9:
-            rows.append((a, b, label, NEAR, 0, None, None, None, odd, distance, beside, None))
+            rows.append((a, b, label, NEAR, 0, None, None, None, None, odd, distance, beside, None))
         rows += [
-            (a, b, label, BESIDE, t, None, None, None, odd, distance, beside, weight)
+            (a, b, label, BESIDE, t, None, None, None, None, odd, distance, beside, weight)
             for t, weight in zip(tokens.view(np.int64).tolist(), weights.tolist(), strict=True)
         ]
         return rows
 
-    names = ["a", "b", "label", "role", "token", "at", "size", "words", "uneven", "distance", "beside", "weight"]
-    kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    names = ["a", "b", "label", "kind", "token", "size", "words", "need", "like", "uneven", "distance", "beside", "weight"]
+    kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int8(), pa.int64(), *[pa.int32()] * 4]
     return _pairs(params, row, names, [*kinds, pa.bool_(), pa.float64(), pa.float64(), pa.float64()])
 
 
+def rare_differences(filed: DataFrame) -> DataFrame:
+    """Difference rows under which members must be filed, with ``left``: how many of a member's are left from this one on.
+
+    Shingles come in the order of how many members of the anchor have them, rare ones
+    first. Those of one member alone, or of linked members only, make no pair, so they are
+    left out before the rest are counted: what a pair shares is among those that stay.
+    """
+    met = filed.groupBy("a", "token").agg(F.count("*").alias("n"), F.max("kind").alias("any")).where(f"n > 1 and any = {OTHER}")
+    kept = filed.join(met, ["a", "token"])
+    behind = W.partitionBy("a", "b").orderBy(F.desc("n"), F.desc("token")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return kept.withColumn("left", F.count("*").over(behind)).where("left >= least(need, coalesce(like, need))")
+
+
 def _may_share_enough(threshold: float) -> str:
-    """Whether a meeting at positions ``at`` and ``yat`` can be the first of as many as the pair must share.
+    """Whether a meeting with ``left`` and ``yleft`` to go can be the first of as many as the pair must share.
 
-    The differences of x and y share no more than one here and what is left after it on
-    either side; they must share (size + ysize - c (words + ywords)) / 2.
+    Of two members one at least is not linked to the anchor, or they are in one component.
+    The differences of x and y share no more than what is left on either side; they must
+    share (size + ysize - c (words + ywords)) / 2.
     """
     c = (1 - threshold) / (1 + threshold)
-    return f"2 * least(size - at, ysize - yat) >= size + ysize - {c!r}D * (words + ywords) - 1e-9D"
+    one_linked = "left >= need and yleft >= yneed"
+    none_linked = "left >= like and yleft >= ylike"
+    kinds = f"(kind <> ykind and {one_linked} or kind = {OTHER} and ykind = {OTHER} and b < yb and {none_linked})"
+    return f"{kinds} and 2 * least(left, yleft) >= size + ysize - {c!r}D * (words + ywords) - 1e-9D"
 
 
 def rare_first(beside: DataFrame, threshold: float) -> DataFrame:
@@ -349,15 +379,35 @@ def _may_be_alike(threshold: float, role: int) -> str:
     return f"{far} and {most} > {1 - threshold!r}D + 1e-9D and least(rest, yrest) >= {most} - {1 - threshold!r}D - 1e-9D"
 
 
+def meetings(filed: DataFrame, params: NearParams, scratch: Scratch) -> DataFrame:
+    """``a, b``: pairs of members of different components that may be alike, from the rows of ``_differences``."""
+
+    def paired(own: DataFrame, left: str, condition: str) -> DataFrame:
+        other = own.select("a", "token", *[F.col(x).alias(f"y{x}") for x in own.columns[2:]])
+        met = own.where(left).join(other, ["a", "token"]).where(f"label <> ylabel and {condition}")
+        return met.select(F.col("b").alias("a"), F.col("yb").alias("b"))
+
+    own = rare_differences(filed.where(F.col("kind").isin(LINKED, OTHER)))
+    own = scratch.save(own.select("a", "token", "b", "label", "kind", "size", "words", "need", "like", "left"))
+    out = paired(own, f"kind = {OTHER}", _may_share_enough(params.similarity))
+    for kind in (NEAR, BESIDE):  # a member of uneven counts with any other
+        own = filed.where(F.col("kind") == kind)
+        own = scratch.save(rare_first(own, params.similarity)) if kind == BESIDE else own.withColumn("rest", F.lit(1.0))
+        own = own.select("a", "token", "b", "label", "uneven", "distance", "beside", "rest")
+        out = out.unionByName(paired(own, "uneven", f"(b < yb or not yuneven) and {_may_be_alike(params.similarity, kind)}"))
+    return out
+
+
 def near_duplicates(
     docs: DataFrame, params: NearParams = NearParams(), *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``id, raw, digest, class_id, group_id, group, copies, links`` for every row.
+    """``id, raw, digest, class_id, group_id, group, copies, verified_links`` for every row.
 
     ``class_id`` is the least id among rows with the same normalised words,
     ``group_id`` the least id of the connected group of near-duplicate classes,
     ``group`` the group's own digest (ids may repeat), ``copies`` the rows of the class,
-    ``links`` the verified links of the class, ``raw`` a hash of the row's text.
+    ``verified_links`` the links of the class that were verified to form the groups (not
+    all it has: pairs inside a settled group are not tested), ``raw`` a hash of the row's text.
     """
     scratch = Scratch(docs.sparkSession, "near")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("raw"))
@@ -372,8 +422,20 @@ def near_duplicates(
         .select("digest", F.col("first.id").alias("class_id"), F.col("first.raw").alias("raw"), "copies", "bands")
     )
     keys = classes.select("digest", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = scratch.save(keys.join(shared, "key"))
+    shared = scratch.save(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    # All band rows are at least the shared ones; so there are at most hot_share keys above the bound.
+    bound = (shared.agg(F.sum("n")).first()[0] or 0) / params.hot_share
+    shared = shared.withColumn("hot", F.col("n") > max(bound, params.small))
+    hot = shared.where("hot").select("key", "n", "hot")
+    marked = keys.join(F.broadcast(hot), "key", "left")
+    cold = marked.where("hot is null").select("key", "digest").join(shared.where("not hot"), "key")
+    buckets = scratch.save(cold.select("key", "digest", "n", "hot").unionByName(marked.where("hot").select("key", "digest", "n", "hot")))
+
+    def by_key(members: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+        """Members with one row for their key: hot keys, which are few, by broadcast, so that no task gets a whole family."""
+        own, few = members.where("not hot"), found.where("hot").drop("hot")
+        return own.join(found.where("not hot").drop("hot"), "key", how).unionByName(members.where("hot").join(F.broadcast(few), "key", how))
+
     # How many meetings a class has: in a family of copies most for those close to the original.
     central = scratch.save(buckets.groupBy("digest").agg(F.sum("n").alias("met")))
     wanted = classes.join(central, "digest", "left_semi").select(F.col("class_id").alias("id_"), F.col("raw").alias("raw_"), "digest")
@@ -409,16 +471,16 @@ def near_duplicates(
     def still_open() -> DataFrame:
         """Members, with their component, of the buckets that hold more than one component."""
         if labels is None:
-            return buckets.join(central, "digest").withColumn("label", F.col("digest"))
+            return scratch.save(buckets.join(central, "digest").withColumn("label", F.col("digest")))
         named = buckets.join(central, "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
         named = named.withColumn("label", F.coalesce("label", "digest"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        return scratch.save(named.join(mixed, "key", "left_semi"))
+        mixed = named.groupBy("key", "hot").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", "hot")
+        return scratch.save(by_key(named, mixed, "left_semi"))
 
     def anchored(members: DataFrame, order) -> DataFrame:
         """Each member with its bucket's anchor ``p``, the one that ``order`` puts first."""
-        anchor = members.groupBy("key").agg(F.max_by("digest", order).alias("p"))
-        return members.join(anchor, "key").where("digest <> p")
+        anchor = members.groupBy("key", "hot").agg(F.max_by("digest", order).alias("p"))
+        return by_key(members, anchor).where("digest <> p")
 
     by_meetings = F.struct(F.col("met"), F.col("digest"))
     for turn in range(params.anchor_rounds):
@@ -427,8 +489,8 @@ def near_duplicates(
         if turn == 0:
             settle(anchored(members, order).select(F.col("p").alias("a"), F.col("digest").alias("b")))
             continue
-        anchor = members.groupBy("key").agg(F.max_by(F.struct(F.col("digest").alias("p"), F.col("label").alias("lp")), order).alias("x"))
-        settle(members.join(anchor, "key").where("label <> x.lp").select(F.col("x.p").alias("a"), F.col("digest").alias("b")))
+        anchor = members.groupBy("key", "hot").agg(F.max_by(F.struct(F.col("digest").alias("p"), F.col("label").alias("lp")), order).alias("x"))
+        settle(by_key(members, anchor).where("label <> x.lp").select(F.col("x.p").alias("a"), F.col("digest").alias("b")))
 
     members = still_open()
     few = members.where(F.col("n") <= params.small)
@@ -440,46 +502,25 @@ def near_duplicates(
     filed = scratch.save(
         with_texts(against, "label").mapInArrow(_differences(params), DIFFERENCES)
     )
-    theirs = filed.select(
-        "a", "token", F.col("role").alias("yrole"), F.col("b").alias("y"), F.col("label").alias("ly"), F.col("at").alias("yat"),
-        F.col("size").alias("ysize"), F.col("words").alias("ywords"),
-    )
-
-    def meet(own: int, other: int) -> DataFrame:
-        met = filed.where(F.col("role") == own).join(theirs.where(F.col("yrole") == other), ["a", "token"])
-        one_way = " and b < y" if own == other else ""
-        return met.where(f"label <> ly and {_may_share_enough(params.similarity)}{one_way}").select(F.col("b").alias("x"), "y")
-
-    def meet_uneven(role: int) -> DataFrame:
-        """As ``meet``, a member of uneven counts with any other."""
-        own = filed.where(F.col("role") == role)
-        own = scratch.save(rare_first(own, params.similarity)) if role == BESIDE else own.withColumn("rest", F.lit(1.0))
-        own = own.select("a", "token", "b", "label", "uneven", "distance", "beside", "rest")
-        other = own.select("a", "token", *[F.col(x).alias(f"y{x}") for x in own.columns[2:]])
-        met = own.where("uneven").join(other, ["a", "token"])
-        met = met.where(f"label <> ylabel and (b < yb or not yuneven) and {_may_be_alike(params.similarity, role)}")
-        return met.select(F.col("b").alias("x"), F.col("yb").alias("y"))
-
-    met = meet(LINKED, OTHER).unionByName(meet(OTHERS, OTHERS)).unionByName(meet_uneven(NEAR)).unionByName(meet_uneven(BESIDE))
-    settle(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    settle(meetings(filed, params, scratch))
 
     degree = (
-        links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("links"))
+        links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("verified_links"))
     )
     named = (
         classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
         .withColumn("label", F.coalesce("label", "digest"))
         .join(degree, "digest", "left")
-        .withColumn("links", F.coalesce("links", F.lit(0)).cast("bigint"))
+        .withColumn("verified_links", F.coalesce("verified_links", F.lit(0)).cast("bigint"))
     )
     groups = named.groupBy("label").agg(F.min(F.struct(F.col("class_id").isNull().alias("none"), "class_id")).alias("g"))
     classed = scratch.save(
         named.join(groups, "label").select(
-            "digest", "class_id", F.col("g.class_id").alias("group_id"), F.col("label").alias("group"), "copies", "links"
+            "digest", "class_id", F.col("g.class_id").alias("group_id"), F.col("label").alias("group"), "copies", "verified_links"
         )
     )
     return sketched.select("id", "raw", "digest").join(classed, "digest").select(
-        "id", "raw", "digest", "class_id", "group_id", "group", "copies", "links"
+        "id", "raw", "digest", "class_id", "group_id", "group", "copies", "verified_links"
     )
 
 

@@ -89,13 +89,13 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
-    # class_id: the least id of the near-duplicate group; exact_id: that of the equal texts; links: of the text.
+    # class_id: the least id of the near-duplicate group; exact_id: that of the equal texts.
     return found.select(
         F.col("id").alias("doc_id"),
         F.col("group_id").alias("class_id"),
         F.col("class_id").alias("exact_id"),
         "copies",
-        "links",
+        "verified_links",
         F.col("id").eqNullSafe(F.col("group_id")).alias("kept"),
     )
 
