@@ -36,6 +36,44 @@ def intersects(box: Column, xmin: float, ymin: float, xmax: float, ymax: float)
     return (box["xmin"] <= xmax) & (box["xmax"] >= xmin) & (box["ymin"] <= ymax) & (box["ymax"] >= ymin)
 
 
+def ring_intersects(xs: Column, ys: Column, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
+    """Whether a polygon (one ring, closed or not) meets a window, its border included.
+
+    It does if a corner of the ring is in the window, a corner of the window is in the ring
+    (even-odd rule), or an edge crosses the window: clipped to the window by its slabs, a part
+    of the edge is left. Filter by ``intersects`` on the envelope first: that is pushed down.
+    """
+    n = F.size(xs)
+    inside = F.exists(F.sequence(F.lit(0), n - 1), lambda i: F.get(xs, i).between(xmin, xmax) & F.get(ys, i).between(ymin, ymax))
+
+    def edge(i):
+        j = F.when(i == 0, n - 1).otherwise(i - 1)
+        return F.get(xs, j), F.get(ys, j), F.get(xs, i), F.get(ys, i)
+
+    def clipped(i):
+        x0, y0, x1, y1 = edge(i)
+
+        def slab(a, b, low, high):
+            # The share of the edge, from a to b, that is between low and high.
+            level = a == b
+            d = F.when(level, 1.0).otherwise(b - a)
+            enter, leave = F.least((low - a) / d, (high - a) / d), F.greatest((low - a) / d, (high - a) / d)
+            out = F.when(level & ~a.between(low, high), 2.0)
+            return F.coalesce(out, F.when(level, 0.0).otherwise(enter)), F.coalesce(out, F.when(level, 1.0).otherwise(leave))
+
+        (ex, lx), (ey, ly) = slab(x0, x1, xmin, xmax), slab(y0, y1, ymin, ymax)
+        return F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))
+
+    def crosses(acc, i):
+        x0, y0, x1, y1 = edge(i)
+        spans = (y0 > ymin) != (y1 > ymin)
+        left = F.lit(float(xmin)) < (x1 - x0) * (ymin - y0) / F.when(spans, y1 - y0).otherwise(1.0) + x0
+        return acc + F.when(spans & left, 1).otherwise(0)
+
+    around = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), crosses) % 2 == 1
+    return F.when(n > 0, inside | F.exists(F.sequence(F.lit(0), n - 1), clipped) | around).otherwise(False)
+
+
 def sane(bbox: Column, box: Column, widest: float = 20.0) -> Column:
     """Narrower than ``widest`` degrees, and not from east to west."""
     return (box["xmax"] - box["xmin"] < widest) & (F.element_at(bbox, 3) >= F.element_at(bbox, 1))

@@ -16,8 +16,10 @@ def latest_by(df: DataFrame, key: Sequence[str] | str, version: str, ties: Seque
     """One row of each key, the one with the greatest version (null last); ``ties`` make it deterministic.
 
     Written as a maximum over a struct and not as a row number: the maximum is taken
-    before the exchange, so a key with very many versions sends one row a task, and no
-    task sorts a whole key. Columns must be comparable (no maps).
+    before the exchange, so a key with very many versions sends one row a task. Spark
+    keeps such maxima in sorted aggregates: a task sorts its own rows by key on either
+    side of the exchange, and spills where they do not fit, but no task gets all rows of
+    a key. Columns must be comparable (no maps).
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
@@ -46,10 +48,10 @@ def drop_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(q(key)).distinct(), key, "left_anti")
 
 
-def exclude_archived(staged: DataFrame, archive: DataFrame, key: str, version: str, period: Column | None = None) -> DataFrame:
-    """Staged rows that the archive does not hold in the same or a newer version.
+def mark_archived(staged: DataFrame, archive: DataFrame, key: str, version: str, period: Column | None = None, name: str = "_archived") -> DataFrame:
+    """Staged rows with ``name``: whether the archive holds their key in the same or a newer version.
 
-    A staged row of an archived key stays only if its version is strictly greater;
+    A staged row of an archived key is new only if its version is strictly greater;
     a null staged version never is, and any version beats a null archived one. With
     ``period`` (an expression over both tables) only the archive's rows of the periods
     that occur in the staged rows are consulted; that list is small and is pushed into
@@ -66,7 +68,12 @@ def exclude_archived(staged: DataFrame, archive: DataFrame, key: str, version: s
     held = latest_versions(archive, key, version).select(q(key).alias("_key"), q(version).alias("_held"))
     met = staged.join(held, q(key) == F.col("_key"), "left")
     newer = F.coalesce(q(version) > F.col("_held"), q(version).isNotNull() & F.col("_held").isNull())
-    return met.where(F.col("_key").isNull() | newer).drop("_key", "_held")
+    return met.withColumn(name, F.col("_key").isNotNull() & ~newer).drop("_key", "_held")
+
+
+def exclude_archived(staged: DataFrame, archive: DataFrame, key: str, version: str, period: Column | None = None) -> DataFrame:
+    """Staged rows that the archive does not hold in the same or a newer version, by the rules of ``mark_archived``."""
+    return mark_archived(staged, archive, key, version, period).where("not _archived").drop("_archived")
 
 
 def splice_years(existing: DataFrame, fresh: DataFrame, years: Sequence[int], year: str = "year") -> DataFrame:

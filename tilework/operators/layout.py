@@ -65,21 +65,19 @@ def run_lengths(df: DataFrame, part: Sequence[str], order: Sequence[str], state:
 def request_depth(requests: DataFrame, part: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
     """Longest chain of requests of each run in which one starts only after another has ended.
 
-    A recurrence over the requests in order of their end, so each run is handled by a
-    grouped function; a run is one measurement and small.
+    The earliest end first makes the greedy chain the longest: one fold over the requests
+    of a run in order of their end, with two numbers for its state. A run is one
+    measurement, and its requests fit one array.
     """
-    import pandas as pd
-
-    def longest(rows: pd.DataFrame) -> pd.DataFrame:
-        ordered = rows.sort_values([end, start])
-        count, last = 0, None
-        for s, e in zip(ordered[start], ordered[end], strict=True):
-            if last is None or s >= last:  # the earliest end first makes the greedy chain the longest
-                count, last = count + 1, e
-        return pd.DataFrame({**{p: [rows[p].iloc[0]] for p in part}, "depth": [count]})
-
-    kinds = ", ".join(f"`{p}` {requests.schema[p].dataType.simpleString()}" for p in part)
-    return requests.groupBy(*part).applyInPandas(longest, f"{kinds}, depth int")
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(end).alias("e"), F.col(start).alias("s"))))
+    kind = requests.schema[end].dataType.simpleString()
+    first = F.struct(F.lit(0).alias("depth"), F.lit(None).cast(kind).alias("last"))
+
+    def step(acc, x):
+        later = acc["last"].isNull() | (x["s"] >= acc["last"])
+        return F.when(later, F.struct((acc["depth"] + 1).alias("depth"), x["e"].alias("last"))).otherwise(acc)
+
+    return requests.groupBy(*part).agg(F.aggregate(ordered, first, step, lambda acc: acc["depth"]).alias("depth"))
 
 
 def admitted_groups(groups: DataFrame, low: Column, high: Column, key) -> DataFrame:

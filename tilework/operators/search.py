@@ -48,6 +48,8 @@ def order_by(sort: str = "cloud") -> list[Column]:
         return [F.coalesce("cover", F.lit(-1.0)).desc(), cloud, item]
     if sort == "date":
         return [F.col("t").desc(), item]
+    if sort == "time":
+        return [F.col("t").asc(), item]
     return [cloud, item]
 
 
@@ -95,6 +97,20 @@ def view_index(rows: DataFrame, sort: str = "cloud", within: str = "tile") -> Da
     return rows.withColumn("position", F.row_number().over(window) - 1)
 
 
+def neighbours(indexed: DataFrame, within: str = "tile") -> DataFrame:
+    """Rows of ``view_index`` with ``previous, next``: the ids one position before and after, clamped to the ends of the view."""
+    window = W.partitionBy(within).orderBy("position")
+    return indexed.withColumn("previous", F.coalesce(F.lag("id").over(window), F.col("id"))).withColumn(
+        "next", F.coalesce(F.lead("id").over(window), F.col("id"))
+    )
+
+
+def at_position(indexed: DataFrame, position: int, within: str = "tile") -> DataFrame:
+    """The row of each view at a position, clamped: below zero the first, beyond the end the last."""
+    last = F.max("position").over(W.partitionBy(within))
+    return indexed.withColumn("_last", last).where(F.col("position") == F.least(F.greatest(F.lit(position), F.lit(0)), F.col("_last"))).drop("_last")
+
+
 def api_request(config: Collection, tile_query: dict, first: str, last: str, cloud: float, least_cover: float) -> str:
     """The body of the equivalent item-search request: cover >= c is nodata <= 100 - c."""
     query = {config.metric_column: {"lte": cloud}, **tile_query}

@@ -16,18 +16,22 @@ from ..sources import files, sinks
 TILE_SORT_FROM = 2026
 
 
-def year_rows(items: DataFrame, config: Collection, year: int, months: Sequence[int] | None = None, archive: DataFrame | None = None,
-              names: Sequence[str] | None = None, live: bool = False) -> DataFrame:
-    """The rows of a year's parts with ``year`` and ``part``: conformed, the latest version of each id, routed.
+WRITTEN, SKIPPED, DROPPED = "written", "skipped", "dropped"
 
-    With an archive, rows that it holds in the same or a newer version are left out. A
-    tile whose zone no part holds stops the job.
+
+def year_fates(items: DataFrame, config: Collection, year: int, months: Sequence[int] | None = None, archive: DataFrame | None = None,
+               names: Sequence[str] | None = None, live: bool = False) -> DataFrame:
+    """The latest version of each id of a year, conformed, with ``year``, ``part`` and ``_fate``.
+
+    The fate of a row: ``dropped`` if the archive holds it in the same or a newer version,
+    ``skipped`` if its part is not among ``names``, else ``written``. A tile whose zone no
+    part holds stops the job.
     """
-    at = q("datetime")
-    wanted = items.where((F.year(at) == year) & (F.month(at).isin(list(months)) if months else F.lit(True)))
-    rows = dedupe.latest_by(conform_items(wanted, config), "id", config.version_column, ["datetime"])
+    rows = dedupe.latest_by(conform_items(in_year(items, year, months), config), "id", config.version_column, ["datetime"])
+    gone = F.lit(False)
     if archive is not None:
-        rows = dedupe.exclude_archived(rows, archive, "id", config.version_column, q("_month"))
+        rows = dedupe.mark_archived(rows, archive, "id", config.version_column, q("_month"))
+        gone = F.col("_archived")
     tile = q(config.tile_column)
     if live:
         part = F.concat(F.lit("live-"), F.lpad(q("_month").cast("string"), 2, "0")) if config.monthly_live else F.lit("live")
@@ -36,32 +40,53 @@ def year_rows(items: DataFrame, config: Collection, year: int, months: Sequence[
         part = F.when(found.isNull(), F.raise_error(F.concat(F.lit("no part for tile "), F.coalesce(tile, F.lit("NULL"))))).otherwise(found)
     else:
         part = F.lit("items")
-    routed = rows.withColumn("year", F.lit(year)).withColumn("part", part)
+    named = F.lit(True)
     if names is not None:
         geo.only_parts(year, list(names), config.zone_split)
-        routed = routed.where(F.col("part").isin(list(names)))
-    return routed
+        named = F.col("part").isin(list(names))
+    routed = rows.withColumn("year", F.lit(year)).withColumn("part", part)
+    fate = F.when(gone, DROPPED).when(~named, SKIPPED).otherwise(WRITTEN)
+    return routed.withColumn("_fate", fate).select(*[q(n) for n, _ in config.columns], "year", "part", "_fate")
+
 
+def in_year(items: DataFrame, year: int, months: Sequence[int] | None = None) -> DataFrame:
+    at = q("datetime")
+    return items.where((F.year(at) == year) & (F.month(at).isin(list(months)) if months else F.lit(True)))
 
-def build_year(spark: SparkSession, sources: Sequence[str], config: Collection, year: int, out: str, **options) -> dict:
+
+def year_rows(items: DataFrame, config: Collection, year: int, **options) -> DataFrame:
+    """The rows of a year's parts with ``year`` and ``part``: those of ``year_fates`` that are written."""
+    return year_fates(items, config, year, **options).where(F.col("_fate") == WRITTEN).drop("_fate")
+
+
+def build_year(spark: SparkSession, sources: Sequence[str], config: Collection, year: int, out: str, accounts: dict | None = None, **options) -> dict:
     """Write a year's parts below ``out`` and account for every staged row.
 
-    The rows are staged as Parquet first: range partitioning reads its input twice, and
-    the deduplication should run once. Returns rows by part; a build without rows writes
-    an empty ``items`` part.
+    The rows are staged as Parquet first, with their fates: range partitioning reads its
+    input twice, and the deduplication should run once. The distinct ids of the sources,
+    counted on their own, must be the rows found in the written parts and those skipped and
+    dropped; else the job stops. ``accounts`` receives the four counts. Returns rows by
+    part; a build without rows writes an empty ``items`` part.
     """
-    rows = year_rows(files.read_items(spark, sources), config, year, **options)
+    items = files.read_items(spark, sources)
     staged = f"{out.rstrip('/')}/_staged-{year}"
-    rows.write.mode("overwrite").parquet(staged)
+    year_fates(items, config, year, **options).write.mode("overwrite").parquet(staged)
     ready = spark.read.parquet(staged)
-    by_part = {r.part: r["n"] for r in ready.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    counts = {(r["_fate"], r.part): r["n"] for r in ready.groupBy("_fate", "part").agg(F.count("*").alias("n")).collect()}
+    by_part = {part: n for (fate, part), n in counts.items() if fate == WRITTEN}
+    total = lambda fate: sum(n for (f, _), n in counts.items() if f == fate)
+    written = 0
     if by_part:
         keys = config.sort_keys if config is not L2A or year >= TILE_SORT_FROM else ("_month", "_hilbert")
-        sinks.write_parts(ready, out, keys, config.row_group_rows)
+        sinks.write_parts(ready.where(F.col("_fate") == WRITTEN).drop("_fate"), out, keys, config.row_group_rows)
         written = files.read_partitioned(spark, out).where((F.col("year") == year) & F.col("part").isin(list(by_part))).count()
-        dedupe.account(sum(by_part.values()), written, 0, 0)
     else:
         sinks.write_empty(spark, config.schema, f"{out}/year={year}/part=items")
+    ids = in_year(items, year, options.get("months")).select("id").distinct().count()
+    found = {"staged": ids, WRITTEN: written, SKIPPED: total(SKIPPED), DROPPED: total(DROPPED)}
+    if accounts is not None:
+        accounts.update(found)
+    dedupe.account(ids, written, found[SKIPPED], found[DROPPED])
     files.delete(spark, staged)
     return by_part or {"items": 0}
 
@@ -121,3 +146,67 @@ def merge_record(measured: dict | None, recorded: dict | None, state: str) -> di
     if state == PRESENT:
         return measured
     return recorded if state == UNKNOWN else None
+
+
+def measure_part(spark: SparkSession, path: str, at: str = "datetime") -> dict:
+    """Rows, time range, bytes and box of a part, from its files' footers and sizes alone."""
+    listed = [(p, size) for p, size in files.listing(spark, path) if p.endswith(".parquet")]
+    paths = [p for p, _ in listed]
+    sums = files.row_groups(spark, paths, at).agg(F.sum("rows").alias("rows"), F.min("low").alias("start"), F.max("high").alias("end")).first()
+    boxes = [b for b in files.geo_boxes(spark, paths).values() if b]
+    box = [f(b[i] for b in boxes) for i, f in enumerate((min, min, max, max))] if boxes else None
+    return {"rows": sums["rows"] or 0, "start": sums.start, "end": sums.end, "bytes": sum(size for _, size in listed), "bbox": box}
+
+
+def discover(spark: SparkSession, base: str, config: Collection, year: int, check=None, measure=None) -> dict[str, tuple[str, dict | None]]:
+    """State and measure of every part that a year can have: archive parts first, in published order, then live ones."""
+    check = check or (lambda p: files.exists(spark, p))
+    measure = measure or (lambda p: measure_part(spark, p))
+    names = [*geo.archive_parts(config.zone_split), *geo.live_parts(config.monthly_live)]
+    out = {}
+    for name in names:
+        path = f"{base.rstrip('/')}/year={year}/part={name}"
+        state = probe(check, path)
+        measured = None
+        if state == PRESENT:
+            try:
+                measured = measure(path)
+            except Exception:  # noqa: BLE001  it is there, but no answer came: as good as unknown
+                state = UNKNOWN
+        out[name] = state, measured
+    return out
+
+
+def build_item(config: Collection, year: int, found: dict[str, tuple[str, dict | None]], recorded: dict | None = None) -> dict | None:
+    """Item document of a year from what was discovered and the document of the last run.
+
+    A part that gave no answer keeps its recorded entry, and one that is there without a box
+    keeps the recorded box: the record shrinks only where a part is clearly gone. None if no
+    part is left.
+    """
+    known = (recorded or {}).get("assets", {})
+    assets = {}
+    for name, (state, measured) in found.items():
+        before = known.get(name)
+        entry = None
+        if measured is not None:
+            entry = {
+                "href": f"./part={name}", "table:row_count": measured["rows"], "start_datetime": measured["start"], "end_datetime": measured["end"],
+                "file:size": measured["bytes"], "bbox": measured["bbox"] or (before or {}).get("bbox"),
+            }
+        merged = merge_record(entry, before, state)
+        if merged is not None:
+            assets[name] = merged
+    if not assets:
+        return None
+    every = lambda k: [a[k] for a in assets.values() if a.get(k) is not None]
+    boxes = every("bbox")
+    box = [f(b[i] for b in boxes) for i, f in enumerate((min, min, max, max))] if boxes else (recorded or {}).get("bbox")
+    return {
+        "type": "Feature", "collection": config.name, "id": f"{config.name}-{year}", "bbox": box,
+        "properties": {
+            "start_datetime": min(every("start_datetime"), default=None), "end_datetime": max(every("end_datetime"), default=None),
+            "table:row_count": sum(every("table:row_count")),
+        },
+        "assets": assets,
+    }

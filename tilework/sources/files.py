@@ -30,6 +30,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; what was at the target is replaced."""
+    where, fs = _fs(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.delete(target, True)
+    if not fs.rename(where, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Files below a folder, or the file itself, with their sizes, in order of their path."""
     where, fs = _fs(spark, path)
@@ -73,13 +82,13 @@ def read_ndjson(spark: SparkSession, paths: Sequence[str] | str, schema) -> Data
 def read_inventory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Object listing, headerless CSV (gzip too) or Parquet by suffix; a mixed or unknown set is refused."""
     if not paths:
-        raise ValueError("the inventory names no data files")
+        raise ValueError("an inventory of no files cannot be read")
     if all(p.endswith(".parquet") for p in paths):
         return spark.read.parquet(*paths)
     if all(p.endswith((".csv", ".csv.gz")) for p in paths):
         return spark.read.schema(INVENTORY).csv(list(paths), header=False)
-    kinds = sorted({"." + p.rpartition(".")[2] if "." in p.rpartition("/")[2] else "(none)" for p in paths})
-    raise ValueError(f"inventory files must all be .parquet or .csv[.gz]; got {kinds}")
+    endings = {p.rpartition("/")[2].partition(".")[2] or "no suffix" for p in paths}
+    raise ValueError(f"an inventory is all parquet or all csv, not {', '.join(sorted(endings))}")
 
 
 def newest_manifest(partitions: Sequence[str]) -> str:
@@ -94,7 +103,7 @@ def manifest_paths(text: str, scheme: str = "s3://", to: str = "s3a://") -> list
     out = []
     for line in filter(None, map(str.strip, text.splitlines())):
         if not line.startswith(scheme):
-            raise ValueError(f"unexpected manifest line (not {scheme}): {line}")
+            raise ValueError(f"{line!r} in a manifest of {scheme} paths")
         out.append(to + line[len(scheme) :])
     return out
 
@@ -124,36 +133,151 @@ def geo_bbox(key_values: dict) -> list[float] | None:
     return next((c["bbox"] for c in columns.values() if c.get("bbox")), None)
 
 
-def row_groups(spark: SparkSession, paths: Sequence[str], key: str) -> DataFrame:
-    """``path, group, rows, bytes, low, high``: one row a row group with the range of ``key``; metadata only.
+class _Tail:
+    """A file of which only the end is held: what a footer reader asks for."""
 
-    Footers are read by tasks, a file each, from the bytes that Spark delivers.
-    """
-    import io
+    def __init__(self, size: int, tail: bytes):
+        self.size, self.tail, self.at, self.closed = size, tail, 0, False
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        self.at = offset if whence == 0 else (self.at if whence == 1 else self.size) + offset
+        return self.at
+
+    def tell(self) -> int:
+        return self.at
+
+    def read(self, count: int = -1) -> bytes:
+        start = self.at - (self.size - len(self.tail))
+        if start < 0:
+            raise OSError("a footer reader left the footer")
+        out = self.tail[start : None if count < 0 else start + count]
+        self.at += len(out)
+        return out
+
+    def close(self) -> None:
+        self.closed = True
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def writable(self) -> bool:
+        return False
 
+
+def _footer_through_hadoop(spark: SparkSession, path: str):
+    """Metadata of a Parquet file by two ranged reads through Hadoop's file system."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    where, fs = _fs(spark, path)
+    size = int(fs.getFileStatus(where).getLen())
+    stream = fs.open(where)
+
+    def last(count: int) -> bytes:
+        stream.seek(size - count)
+        return bytes(stream.readNBytes(count))
+
+    try:
+        length = int.from_bytes(last(8)[:4], "little")
+        return pq.ParquetFile(pa.PythonFile(_Tail(size, last(min(size, length + 8))), mode="r")).metadata
+    finally:
+        stream.close()
+
+
+def arrow_path(path: str):
+    """Arrow's file system for a path of Hadoop's, and the name in it; an error if Arrow does not know the store."""
+    import pyarrow.fs
+
+    return pyarrow.fs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
+def _footer(path: str):
+    """Metadata of a Parquet file where Arrow knows the store; only the file's end is read."""
     import pyarrow.parquet as pq
 
-    def footers(batches):
-        import pyarrow as pa
+    store, name = arrow_path(path)
+    with store.open_input_file(name) as file:
+        return pq.ParquetFile(file).metadata
+
+
+def _arrow_reads(path: str) -> bool:
+    import pyarrow as pa
+
+    try:
+        arrow_path(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
+def _footer_rows(spark: SparkSession, paths: Sequence[str], rows_of, schema: str) -> DataFrame:
+    """``rows_of(path, metadata)`` of each Parquet file of files and folders, with ranged reads of its footer.
+
+    Tasks read the footers, some files each, where Arrow knows the store; else the driver
+    does, through Hadoop's file system, a file at a time: footers are small, and there are
+    as many as files.
+    """
+    paths = [p for s in paths for p, _ in listing(spark, s) if p.endswith(".parquet")]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    if not all(_arrow_reads(p) for p in {p.partition(":")[0]: p for p in paths}.values()):
+        return spark.createDataFrame([r for p in paths for r in rows_of(p, _footer_through_hadoop(spark, p))], schema)
+
+    def read(batches):
+        import pandas as pd
 
         for batch in batches:
-            rows = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                meta = pq.ParquetFile(io.BytesIO(content.as_buffer())).metadata
-                names = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
-                for g in range(meta.num_row_groups):
-                    group = meta.row_group(g)
-                    stats = group.column(names[key]).statistics if key in names else None
-                    ranged = stats is not None and stats.has_min_max
-                    rows.append((path, g, group.num_rows, group.total_byte_size, str(stats.min) if ranged else None, str(stats.max) if ranged else None))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["path", "group", "rows", "bytes", "low", "high"]
-            )
-
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return files.mapInArrow(footers, "path string, group int, rows bigint, bytes bigint, low string, high string")
+            rows = [r for p in batch["path"] for r in rows_of(p, _footer(p))]
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    names = [part.split()[0] for part in schema.split(", ")]
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 200))
+    return listed.mapInPandas(read, schema)
+
+
+def row_groups(spark: SparkSession, paths: Sequence[str], key: str) -> DataFrame:
+    """``path, group, rows, bytes, low, high``: one row a row group with the range of ``key``; only footers are read."""
+
+    def groups(path, meta):
+        names = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            stats = group.column(names[key]).statistics if key in names else None
+            low, high = (str(stats.min), str(stats.max)) if stats is not None and stats.has_min_max else (None, None)
+            yield path, g, group.num_rows, group.total_byte_size, low, high
+
+    return _footer_rows(spark, paths, groups, "path string, group int, rows bigint, bytes bigint, low string, high string")
+
+
+def key_values(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, key, value``: the text entries of each footer's key-value metadata."""
+
+    def entries(path, meta):
+        for key, value in (meta.metadata or {}).items():
+            yield path, key.decode("utf-8", "replace"), value.decode("utf-8", "replace")
+
+    return _footer_rows(spark, paths, entries, "path string, key string, value string")
+
+
+def geo_boxes(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[float] | None]:
+    """Bounding box of each file from the ``geo`` entry of its footer; None where it has none."""
+    listed = [p for s in paths for p, _ in listing(spark, s) if p.endswith(".parquet")]
+    found = {r.path: geo_bbox({"geo": r.value}) for r in key_values(spark, listed).where("key = 'geo'").collect()}
+    return {p: found.get(p) for p in listed}
+
+
+def present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that are there. An absent part is an empty part; any other answer of the store propagates."""
+    return [p for p in paths if exists(spark, p)]
+
+
+def read_present(spark: SparkSession, paths: Sequence[str], schema) -> DataFrame:
+    """The rows of the parts that are there; no part gives an empty table of the schema."""
+    found = present(spark, paths)
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
 def inline(spark: SparkSession, rows, schema: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Paged item API as a Spark data source.
 
 ``spark.read.format("item_api")`` with options ``start``, ``end`` (days), ``days`` (window
-length, one partition each), ``field`` (the time field of the window) and ``transport``
+length, one partition each) or ``windows`` (JSON pairs of days), ``field`` (the time field of the window) and ``transport``
 (import path ``module:function`` of a callable ``(url, body) -> dict``; the default
 speaks HTTP). Each partition walks its window's pages; a page names the next one.
 """
@@ -51,6 +51,66 @@ def http(url: str, body: dict, sleep=time.sleep) -> dict:
     raise AssertionError("unreachable")
 
 
+def named(path: str):
+    """The function that an import path ``module:function`` names."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def http_get(url: str) -> str | None:
+    """The body of an object; None where it is missing."""
+    try:
+        with urllib.request.urlopen(url, timeout=120) as got:
+            return got.read().decode()
+    except urllib.error.HTTPError as error:
+        if error.code == 404:
+            return None
+        raise
+
+
+def http_list(folder: str) -> list[str]:
+    """Keys below a folder ``https://host/prefix`` of a bucket that answers version 2 listings, page by page."""
+    import re
+    import urllib.parse
+    from xml.sax.saxutils import unescape
+
+    host, _, prefix = folder.partition("://")[2].partition("/")
+    keys, token = [], None
+    while True:
+        query = {"list-type": "2", "prefix": prefix} | ({"continuation-token": token} if token else {})
+        page = http_get(f"https://{host}/?{urllib.parse.urlencode(query)}") or ""
+        keys += [unescape(k) for k in re.findall(r"<Key>([^<]*)</Key>", page)]
+        more = re.search(r"<NextContinuationToken>([^<]*)<", page)
+        if not more:
+            return keys
+        token = unescape(more.group(1))
+
+
+def list_objects(folders, transport: str = f"{__name__}:http_list"):
+    """``folder, key``: the objects below each folder of a DataFrame with ``folder``; tasks list some folders each."""
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            rows = [(f, k) for f in batch["folder"] for k in named(transport)(f)]
+            yield pd.DataFrame(rows, columns=["folder", "key"], dtype=object)
+
+    return folders.select("folder").mapInPandas(run, "folder string, key string")
+
+
+def get_objects(keys, transport: str = f"{__name__}:http_get"):
+    """``key, value``: the text of each object of a DataFrame with ``key``, null where it is missing; one request a row."""
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            yield pd.DataFrame({"key": batch["key"], "value": [named(transport)(k) for k in batch["key"]]}, dtype=object)
+
+    return keys.select("key").mapInPandas(run, "key string, value string")
+
+
 def windows(start: str, end: str, days: int) -> list[tuple[str, str]]:
     """Consecutive windows of ``days`` days that cover start..end, both included."""
     a, b, out = dt.date.fromisoformat(start), dt.date.fromisoformat(end), []
@@ -73,12 +133,12 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         o = self.options
-        return [Window(*w) for w in windows(o["start"], o["end"], int(o.get("days", 1)))]
+        listed = json.loads(o["windows"]) if "windows" in o else windows(o["start"], o["end"], int(o.get("days", 1)))
+        return [Window(*w) for w in listed]
 
     def read(self, partition):
         o = self.options
-        module, _, name = o.get("transport", f"{__name__}:http").partition(":")
-        send = getattr(importlib.import_module(module), name)
+        send = named(o.get("transport", f"{__name__}:http"))
         span = f"{partition.first}T00:00:00Z/{partition.last}T23:59:59.999Z"
         body = {"collections": [o["collection"]], "limit": int(o.get("limit", PAGE))}
         if o.get("field", "datetime") == "datetime":

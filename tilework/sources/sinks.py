@@ -44,6 +44,33 @@ def write_parts(df: DataFrame, path: str, keys: Sequence[str], row_group_rows: i
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def replace_part(df: DataFrame, path: str, expected: int | None = None, write=None) -> int:
+    """Replace the folder of a part at once: write beside it, check, then rename. Returns its rows.
+
+    Rows are counted in what was written, from its footers. Where the count is not the
+    expected one, the part stays as it was and an error is raised; readers never see half
+    a part. ``write`` is called with the frame and the folder (default: plain Parquet).
+    """
+    spark, jvm = df.sparkSession, df.sparkSession._jvm
+    folder, _, name = path.rstrip("/").rpartition("/")
+    staged = f"{folder}/.{name}.part"
+    target, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(made, True)
+    if write is None:
+        df.write.option("compression", "zstd").parquet(staged)
+    else:
+        write(df, staged)
+    rows = spark.read.schema(df.schema).parquet(staged).count()
+    if expected is not None and rows != expected:
+        fs.delete(made, True)
+        raise ValueError(f"{rows} rows were written for {path}, not {expected}")
+    fs.delete(target, True)
+    if not fs.rename(made, target):
+        raise OSError(f"{staged} could not be moved to {path}")
+    return rows
+
+
 def write_month_aligned(grouped: DataFrame, path: str, month: str, order: Sequence[str], target: int) -> None:
     """One file a row group: the groups of ``layout.month_groups`` never span a month nor exceed ``target``."""
     (
@@ -58,6 +85,91 @@ def write_month_aligned(grouped: DataFrame, path: str, month: str, order: Sequen
     )
 
 
+def write_aligned_parts(df: DataFrame, path: str, part: str, month: str, order: Sequence[str], target: int, level: int = 18) -> list[tuple[str, int, int]]:
+    """One file ``<part>.parquet`` a part, whose row groups never span a month nor exceed ``target`` rows.
+
+    Spark's own writer cuts groups by size alone, so each task writes its parts through
+    Arrow, a group at a time, in a store that Arrow knows. A task writes under a name of its
+    attempt and reports it; what was reported is renamed at the end, so tasks may run again,
+    and readers see whole parts only. Returns (part, rows, groups); a null month stops the job.
+    """
+    import pyarrow as pa
+
+    spark = df.sparkSession
+    where, fs = _folder(spark, path)
+    fs.mkdirs(where)
+    root, columns = fs.resolvePath(where).toString(), df.columns
+
+    def write(batches):
+        import uuid
+
+        import pyarrow.parquet as pq
+
+        from .files import arrow_path
+
+        store, base = arrow_path(root)
+        writer = now = None
+        waiting: list = []
+        done: list = []
+
+        def close_group():
+            nonlocal waiting
+            if waiting:
+                table = pa.Table.from_batches(waiting)
+                writer.write_table(table, row_group_size=table.num_rows)
+                done[-1][2] += table.num_rows
+                done[-1][3] += 1
+                waiting = []
+
+        for batch in batches:
+            names, months = batch.column(part).to_pylist(), batch.column(month).to_pylist()
+            at = 0
+            while at < len(names):
+                if months[at] is None:
+                    raise ValueError("a row has no month")
+                key = names[at], months[at]
+                if key != now:
+                    close_group()
+                    if now is None or key[0] != now[0]:
+                        if writer is not None:
+                            writer.close()
+                        done.append([key[0], f".{uuid.uuid4().hex}.part", 0, 0])
+                        writer = pq.ParquetWriter(f"{base}/{done[-1][1]}", batch.schema, filesystem=store, compression="zstd", compression_level=level)
+                    now = key
+                held = sum(b.num_rows for b in waiting)
+                end = at
+                while end < len(names) and (names[end], months[end]) == key and held + end - at < target:
+                    end += 1
+                waiting.append(batch.slice(at, end - at))
+                at = end
+                if held + waiting[-1].num_rows == target:
+                    close_group()
+        close_group()
+        if writer is not None:
+            writer.close()
+        cells = list(zip(*done, strict=True)) if done else [()] * 4
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([x if k != 0 else str(x) for x in c], t) for k, (c, t) in enumerate(zip(cells, kinds, strict=True))], names=["part", "file", "rows", "groups"])
+
+    ordered = df.select(*[q(c) for c in columns]).repartition(q(part)).sortWithinPartitions(q(part), q(month), *[q(c) for c in order])
+    made = ordered.mapInArrow(write, "part string, file string, rows bigint, groups bigint").collect()
+    jvm = spark._jvm
+    for r in made:
+        target_file = jvm.org.apache.hadoop.fs.Path(where, f"{r.part}.parquet")
+        fs.delete(target_file, False)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(where, r.file), target_file):
+            raise OSError(f"{r.file} could not be moved to {target_file}")
+    for status in fs.listStatus(where):
+        if status.getPath().getName().endswith(".part"):
+            fs.delete(status.getPath(), False)
+    return sorted((r.part, r["rows"], r.groups) for r in made)
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_slices(stats: DataFrame, path: str) -> None:
     """One folder a month, ``ym=YYYY-MM``; months that the table no longer has disappear."""
     named = stats.withColumn("ym", F.format_string("%04d-%02d", F.col("year").cast("int"), F.col("month").cast("int")))
@@ -119,11 +231,36 @@ def year_document(row, collection: str, parts: list[dict]) -> dict:
     }
 
 
+def collection_document(rolled, name: str, description: str, years: Sequence[int]) -> dict:
+    """Collection document from the rolled-up row of all years: extents, row count, a link for each year."""
+    return {
+        "type": "Collection",
+        "id": name,
+        "description": description,
+        "extent": {
+            "spatial": {"bbox": [[rolled["xmin"], rolled["ymin"], rolled["xmax"], rolled["ymax"]]]},
+            "temporal": {"interval": [[str(rolled["start"]), str(rolled["end"])]]},
+        },
+        "links": [{"rel": "item", "href": f"./year={y}/{y}.json"} for y in sorted(years)],
+        "table:row_count": rolled["rows"],
+    }
+
+
 def sidecar(groups: list[dict], kept: Sequence[str]) -> str:
     """JSON index of a part: its kept columns, and rows and key range of each row group."""
     return json.dumps({"columns": list(kept), "groups": [{k: g[k] for k in ("group", "rows", "low", "high")} for g in groups]}, separators=(",", ":"))
 
 
+def sidecars(spark: SparkSession, paths: Sequence[str], key: str, kept: Sequence[str]) -> dict[str, str]:
+    """The index of each Parquet file, from its footer."""
+    from .files import row_groups
+
+    by_path: dict[str, list] = {}
+    for r in row_groups(spark, paths, key).orderBy("path", "group").collect():
+        by_path.setdefault(r.path, []).append(r.asDict())
+    return {p: sidecar(groups, kept) for p, groups in by_path.items()}
+
+
 def density_png(cells: list[tuple[int, int, int]], width: int, height: int) -> bytes:
     """Grey PNG of a density grid ``(ix, iy, n)``, shaded logarithmically; standard library only."""
     import math
