@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import audit
-from ..schema import Collection, normalise
+from ..schema import Collection, conform_items, normalise
 from ..sources import files, rest, sinks
 
 
@@ -67,7 +67,7 @@ def repair_months(spark: SparkSession, inventory: DataFrame, published: DataFram
     ready = spark.read.parquet(staged)
     added = ready.count()
     if added:
-        normalise(ready, config).select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in config.columns]).write.mode("append").parquet(out)
+        conform_items(normalise(ready, config), config).write.mode("append").parquet(out)
     files.delete(spark, staged)
     return added
 

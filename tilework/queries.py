@@ -526,7 +526,15 @@ def point_in_polygon(spark, sf):
     return geo.point_in_polygon(points, polygons)
 
 
-@query()
+HILBERT = """start as (select c_custkey, cast(least(65535, greatest(0, floor((x * 37 % 3600 / 10 - 180 + 180) / 360 * 65535))) as bigint) as x,
+    cast(least(65535, greatest(0, floor((x * 13 % 1800 / 10 - 90 + 90) / 180 * 65535))) as bigint) as y from (select c_custkey, c_custkey::double as x from customer)),
+  walk(c_custkey, bit, x, y, d) as (select c_custkey, 32768::bigint, x, y, 0::bigint from start union all
+    select c_custkey, bit // 2, case when y & bit > 0 then x & (bit - 1) when x & bit > 0 then bit - 1 - (y & (bit - 1)) else y & (bit - 1) end,
+      case when y & bit > 0 then y & (bit - 1) when x & bit > 0 then bit - 1 - (x & (bit - 1)) else x & (bit - 1) end,
+      d * 4 + case when y & bit > 0 then case when x & bit > 0 then 2 else 1 end when x & bit > 0 then 3 else 0 end from walk where bit > 0)"""
+
+
+@query(f"with recursive {HILBERT} select c_custkey, d as h from walk where bit = 0")
 def hilbert_key(spark, sf):
     k = c("c_custkey").cast("double")
     return table(spark, sf, "customer").select("c_custkey", geo.hilbert(k * 37 % 3600 / 10 - 180, k * 13 % 1800 / 10 - 90).alias("h"))
@@ -592,7 +600,10 @@ def run_lengths(spark, sf):
     return layout.run_lengths(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], c("event_type") == "view")
 
 
-@query()
+@query("""with recursive spans as (select user_id, floor(epoch(ts))::bigint as a, floor(epoch(ts))::bigint + 1 + event_id % 40000 as b from events),
+  chain(user_id, last, depth) as (select user_id, min(b), 1 from spans group by 1 union all
+    select c.user_id, min(s.b), c.depth + 1 from chain c join spans s on s.user_id = c.user_id and s.a >= c.last group by c.user_id, c.depth)
+  select user_id, cast(max(depth) as integer) as depth from chain group by 1""")
 def request_depth(spark, sf):
     start = _epoch("ts")
     spans = table(spark, sf, "events").select("user_id", start.alias("start"), (start + 1 + c("event_id") % 40000).alias("end"))
@@ -677,7 +688,36 @@ def pick_level(spark, sf):
     return raster.pick_level(table(spark, sf, "part").select("p_brand", k.alias("level"), (k * 10).alias("w"), (k * 9).alias("h")), ["p_brand"], 12000)
 
 
-@query()
+def _hex(value: str) -> str:
+    return f"printf('%02x', cast({value} as integer))"
+
+
+def _ramp_sql(stops) -> str:
+    """SQL: hexadecimal colour of step k of 256 through evenly spaced stops, halves to even."""
+    channels = []
+    for at in (1, 3, 5):
+        levels = "[" + ", ".join(str(int(s[at : at + 2], 16)) for s in stops) + "]"
+        step = f"k * {len(stops) - 1} / 255.0::double"
+        low = f"{levels}[cast(floor({step}) as bigint) + 1]"
+        high = f"{levels}[least({len(stops)}, cast(floor({step}) as bigint) + 2)]"
+        channels.append(_hex(f"round_even({low} + ({step} - floor({step})) * ({high} - {low}), 0)"))
+    return " || ".join(channels)
+
+
+# Samples are single precision; so are their positions on the stretch table and the ramp.
+PAINTED = f"""samples as (select vec_id, i, cast(embedding[i] as float) as a, cast(embedding[65 - i] as float) as b from embeddings,
+    (select unnest(generate_series(1, 64)) as i)),
+  steps as (select *, cast(trunc(cast(least(1023::float, greatest(0::float, (a - (-0.5)::float) * 1023::float / 1::float)) as double)) as bigint) as sa,
+    cast(trunc(cast(least(1023::float, greatest(0::float, (b - (-0.5)::float) * 1023::float / 1::float)) as double)) as bigint) as sb,
+    cast((a - b) / (a + b) as float) as v from samples),
+  shown as (select *, cast(trunc(cast(least(255::float, greatest(0::float, (v + 1::float) * 255::float / 2::float)) as double)) as bigint) as k from steps),
+  told as (select vec_id, i, case when a = 0 or b = 0 then '00000000' else
+      {" || ".join(_hex(f"least(255, floor(255 * pow(sqrt({s} / 1023.0::double), 1 / 1.2::double) + 0.5))") for s in ("sa", "sb", "sa"))} || 'ff' end as rgba,
+    case when a = 0 or b = 0 or isnan(v) then '00000000' else {_ramp_sql(raster.INDICES["ndvi"][2])} || 'ff' end as ramp from shown)"""
+
+
+@query(f"""with {PAINTED} select vec_id, sha256(unhex(string_agg(rgba, '' order by i))) as rgba, sha256(unhex(string_agg(ramp, '' order by i))) as "index"
+  from told group by 1""")
 def paint_rgba(spark, sf):
     e = c("embedding").cast("array<float>")
     painted = raster.paint_bands(e, F.reverse(e), e, [(-0.5, 0.5)] * 3, "sqrt", 1.2)
@@ -758,3 +798,6 @@ def upgrade_table(spark, sf):
         (c("median_cloud_cover") - 20.0).alias("median_cloud_cover"), c("best_item_date").cast("timestamp").alias("best_item_datetime"),
     )
     return upgrade_stats(old)
+
+
+from . import round_trips  # noqa: E402,F401  registers its queries

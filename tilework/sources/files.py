@@ -25,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(where))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """A zero-byte file: "fetched, no rows"."""
+    where, fs = _fs(spark, path)
+    fs.create(where, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, fs = _fs(spark, path)
     fs.delete(where, True)
