@@ -259,29 +259,29 @@ def latest_version(spark, sf):
 
 
 @query("""with staged as (select o_orderkey as id, nullif(substr(o_orderpriority, 1, 1), '3') as version, year(o_orderdate) * 100 + month(o_orderdate) as ym
-    from orders where o_orderkey % 2 = 0 and year(o_orderdate) = 1997),
-  archive as (select o_orderkey as id, nullif(cast(o_orderkey % 6 as varchar), '0') as version, year(o_orderdate) * 100 + month(o_orderdate) as ym
-    from orders where o_orderkey % 5 < 3),
+    from orders),
+  archive as (select case when o_orderkey % 5 < 3 then o_orderkey end as id, nullif(cast(o_orderkey % 6 as varchar), '0') as version,
+    year(o_orderdate) * 100 + month(o_orderdate) as ym from orders),
   held as (select id, max(version) as held from archive where ym in (select ym from staged) group by id)
   select s.id, s.version, cast(s.ym as integer) as ym from staged s left join held h on s.id = h.id
   where h.id is null or coalesce(s.version > h.held, s.version is not null and h.held is null)""")
 def exclude_archived(spark, sf):
     orders = table(spark, sf, "orders")
     ym = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("ym")
-    staged = orders.where("o_orderkey % 2 = 0 and year(o_orderdate) = 1997").select(
+    staged = orders.select(
         c("o_orderkey").alias("id"), F.nullif(F.substring("o_orderpriority", 1, 1), F.lit("3")).alias("version"), ym
     )
-    archive = orders.where("o_orderkey % 5 < 3").select(
-        c("o_orderkey").alias("id"), F.nullif((c("o_orderkey") % 6).cast("string"), F.lit("0")).alias("version"), ym
+    archive = orders.select(
+        F.when(c("o_orderkey") % 5 < 3, c("o_orderkey")).alias("id"), F.nullif((c("o_orderkey") % 6).cast("string"), F.lit("0")).alias("version"), ym
     )
     return dedupe.exclude_archived(staged, archive, "id", "version", c("ym"))
 
 
-@query(f"""with {ORDER_MONTHS} select * from (select * from stats where cast(mgrs_tile as integer) < 10) where year not in (1996, 1998)
+@query(f"""with {ORDER_MONTHS} select * replace (-scene_count as scene_count) from stats where year not in (1996, 1998)
   union all select * from stats where year in (1996, 1998)""")
 def year_splice(spark, sf):
     fresh = _order_stats(spark, sf)
-    return dedupe.splice_years(fresh.where(c("mgrs_tile").cast("int") < 10), fresh, [1996, 1998])
+    return dedupe.splice_years(fresh.withColumn("scene_count", -c("scene_count")), fresh, [1996, 1998])
 
 
 @query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where year(o_orderdate) = 1997)")
@@ -290,19 +290,17 @@ def anti_join(spark, sf):
     return dedupe.drop_keys(table(spark, sf, "customer").select("c_custkey", "c_name"), orders, "c_custkey")
 
 
-@query("""select o_orderkey, o_custkey, cast(null as varchar) as o_orderpriority from orders where o_orderkey % 3 = 0
-  union all select o_orderkey, cast(null as bigint), o_orderpriority from orders where o_orderkey % 3 = 1""")
+@query("""select o_orderkey, o_custkey, cast(null as varchar) as o_orderpriority from orders
+  union all select o_orderkey, cast(null as bigint), o_orderpriority from orders""")
 def union_by_name(spark, sf):
     orders = table(spark, sf, "orders")
-    return dedupe.fold(
-        orders.where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey"), orders.where("o_orderkey % 3 = 1").select("o_orderpriority", "o_orderkey")
-    )
+    return dedupe.fold(orders.select("o_orderkey", "o_custkey"), orders.select("o_orderpriority", "o_orderkey"))
 
 
-@query("select event_id, ts from events where event_id % 2 = 0 union all select event_id, ts from events where event_id % 3 = 0")
+@query("select event_id, ts from events where value < 200 union all select event_id, ts from events where value >= 100")
 def fold(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "ts")
-    return dedupe.fold(events.where("event_id % 2 = 0"), events.where("event_id % 3 = 0"), order="ts")
+    events = table(spark, sf, "events")
+    return dedupe.fold(*[events.where(part).select("event_id", "ts") for part in ("value < 200", "value >= 100")], order="ts")
 
 
 @query("""with both_ as (select l_orderkey, l_linenumber, l_shipdate, l_partkey from lineitem where l_linenumber < 4
@@ -373,10 +371,11 @@ def day_buckets(spark, sf):
     return search.day_buckets(table(spark, sf, "orders").select(ids.alias("id")), L2A)
 
 
-@query("""select n_name, r_name, suppliers from nation left join (select s_nationkey, count(*) as suppliers from supplier where s_suppkey % 3 = 0
+@query("""select n_name, r_name, suppliers from nation left join (select case when s_nationkey % 4 <> 0 then s_nationkey end as s_nationkey, count(*) as suppliers from supplier
   group by 1) on n_nationkey = s_nationkey left join region on n_regionkey = r_regionkey""")
 def lookup_left(spark, sf):
-    few = table(spark, sf, "supplier").where("s_suppkey % 3 = 0").groupBy(c("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("suppliers"))
+    known = F.when(c("s_nationkey") % 4 != 0, c("s_nationkey"))
+    few = table(spark, sf, "supplier").groupBy(known.alias("n_nationkey")).agg(F.count("*").alias("suppliers"))
     region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     both = search.lookup(search.lookup(table(spark, sf, "nation"), few, "n_nationkey"), region, "n_regionkey")
     return both.select("n_name", "r_name", "suppliers")
@@ -384,8 +383,8 @@ def lookup_left(spark, sf):
 
 @query("""with l as (select user_id, unnest(list(event_id order by value, event_id)) as id, generate_subscripts(list(event_id order by value, event_id), 1) as k
     from events group by 1),
-  r as (select user_id, unnest(list(event_id order by round(value / 5), event_id)) as id,
-    generate_subscripts(list(event_id order by round(value / 5), event_id), 1) as k from events where user_id % 4 <> 0 group by 1)
+  r as (select case when user_id % 4 <> 0 then user_id end as user_id, unnest(list(event_id order by round(value / 5), event_id)) as id,
+    generate_subscripts(list(event_id order by round(value / 5), event_id), 1) as k from events group by 1)
   select user_id, count(*) filter (where l.id is distinct from r.id) as mismatches from l full join r using (user_id, k) group by 1""")
 def ranked_mismatches(spark, sf):
     events = table(spark, sf, "events")
@@ -394,7 +393,8 @@ def ranked_mismatches(spark, sf):
         listed = F.array_sort(F.collect_list(F.struct(value.alias("v"), "event_id")))
         return df.groupBy("user_id").agg(F.transform(listed, lambda x: x["event_id"]).alias("ids"))
 
-    left, right = ranked(events, c("value")), ranked(events.where("user_id % 4 <> 0"), F.round(c("value") / 5))
+    known = events.withColumn("user_id", F.when(c("user_id") % 4 != 0, c("user_id")))
+    left, right = ranked(events, c("value")), ranked(known, F.round(c("value") / 5))
     return search.compare_ranked(left, right, "user_id", "ids")
 
 
@@ -408,6 +408,12 @@ EXPECTED = r"""expected as (select cast(regexp_extract(key, '/(\d{4})/(\d{1,2})/
   and regexp_extract(key, '/(\d{4})/(\d{1,2})/([^/]+)/([^/]+)\.json$', 3) = regexp_extract(key, '/(\d{4})/(\d{1,2})/([^/]+)/([^/]+)\.json$', 4) group by all)"""
 
 
+def _late(spark, sf):
+    """Orders of which some are published 400 days late."""
+    moved = F.date_add(F.to_date("o_orderdate"), F.when(c("o_orderkey") % 13 == 0, 400).otherwise(0))
+    return table(spark, sf, "orders").select("o_orderkey", moved.alias("o_orderdate"))
+
+
 def _keys(spark, sf):
     s = lambda x: x.cast("string")
     stem = F.when(c("o_orderkey") % 11 == 0, F.concat(s(c("o_orderkey")), F.lit("_side"))).otherwise(s(c("o_orderkey")))
@@ -419,11 +425,11 @@ def _keys(spark, sf):
 
 
 @query(f"""with {KEYS}, {EXPECTED}, have as (select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
-    count(*) as have from orders where o_orderkey % 13 <> 0 and year(o_orderdate) <> 1995 group by all)
+    count(*) as have from (select o_orderdate + (case when o_orderkey % 13 = 0 then 400 else 0 end) * interval 1 day as o_orderdate from orders) group by all)
   select year, month, coalesce(expected, 0) as expected, coalesce(have, 0) as have, coalesce(have, 0) - coalesce(expected, 0) as delta,
     abs(coalesce(have, 0) - coalesce(expected, 0)) > 5 as bad from expected full join have using (year, month)""")
 def audit_delta(spark, sf):
-    have = audit.have_counts(table(spark, sf, "orders").where("o_orderkey % 13 <> 0 and year(o_orderdate) <> 1995"), "o_orderdate", None)
+    have = audit.have_counts(_late(spark, sf), "o_orderdate", None)
     return audit.audit(audit.expected_counts(_keys(spark, sf), "items/"), have, 5)
 
 
@@ -434,24 +440,24 @@ def key_parse_counts(spark, sf):
 
 @query("""select 'k' || l.p_partkey as key, case when r.p_partkey is null then 'absent' when r.p_size + r.p_partkey % 2 <> l.p_size then 'size'
     when r.p_partkey % 7 <> 0 and r.p_partkey % 5 = 0 then 'checksum' end as reason
-  from part l left join (select * from part where p_partkey % 3 <> 0) r using (p_partkey)
+  from part l left join (select * replace (case when p_partkey % 3 <> 0 then p_partkey end as p_partkey) from part) r using (p_partkey)
   where r.p_partkey is null or r.p_partkey % 2 = 1 or (r.p_partkey % 7 <> 0 and r.p_partkey % 5 = 0)""")
 def object_diff(spark, sf):
     part = table(spark, sf, "part")
     key, digest = F.concat(F.lit("k"), c("p_partkey").cast("string")).alias("key"), F.md5("p_name")
     local = part.select(key, c("p_size").alias("size"), digest.alias("checksum"))
     other = F.when(c("p_partkey") % 7 == 0, F.concat(digest, F.lit("-2"))).when(c("p_partkey") % 5 == 0, F.md5(F.lit("x"))).otherwise(digest)
-    remote = part.where("p_partkey % 3 <> 0").select(key, (c("p_size") + c("p_partkey") % 2).alias("size"), other.alias("checksum"))
+    remote = part.select(F.when(c("p_partkey") % 3 != 0, key).alias("key"), (c("p_size") + c("p_partkey") % 2).alias("size"), other.alias("checksum"))
     return audit.object_diff(local, remote)
 
 
 @query("""select year, list_sort(list(distinct part)) as parts from (select cast(year(o_orderdate) as integer) as year,
   case when o_orderkey % 4 = 0 then 'items' else 'live-' || printf('%02d', month(o_orderdate)) end as part,
-  case when month(o_orderdate) > 6 then 0 else 1 end as rows from orders where year(o_orderdate) < 1998) where part like 'live%' and rows > 0 group by 1""")
+  case when month(o_orderdate) > 6 then 0 else 1 end as rows from orders) where part like 'live%' and rows > 0 group by 1""")
 def consolidation_plan(spark, sf):
     month = F.month("o_orderdate")
     name = F.when(c("o_orderkey") % 4 == 0, "items").otherwise(F.concat(F.lit("live-"), F.lpad(month.cast("string"), 2, "0")))
-    parts = table(spark, sf, "orders").where(F.year("o_orderdate") < 1998).select(
+    parts = table(spark, sf, "orders").select(
         F.year("o_orderdate").alias("year"), name.alias("part"), F.when(month > 6, 0).otherwise(1).alias("rows")
     )
     return audit.plan_consolidation(parts)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .functions import geo, scalars
 from .operators import audit, layout, search, stats
 from .plans import build, fetch
-from .queries import EXPECTED, KEYS, ORDER_MONTHS, SCENES, YEARS, _keys, _orders, _parts, _scenes, query, table
+from .queries import EXPECTED, KEYS, ORDER_MONTHS, SCENES, YEARS, _keys, _late, _orders, _parts, _scenes, query, table
 from .schema import L2A, normalise, q, unknown_properties
 from .sources import files, rest, sinks
 from .streaming import refresh
@@ -204,12 +204,12 @@ def window_counts(spark, sf):
 
 
 @query(f"""with {KEYS}, {EXPECTED}, have as (select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
-    count(*) as have from orders where o_orderstatus <> 'P' group by all)
+    count(*) as have from (select o_orderdate + (case when o_orderkey % 13 = 0 then 400 else 0 end) * interval 1 day as o_orderdate from orders) group by all)
   select year, month, coalesce(expected, 0) as expected, coalesce(have, 0) as have, coalesce(have, 0) - coalesce(expected, 0) as delta,
     abs(coalesce(have, 0) - coalesce(expected, 0)) > 5 as bad from expected full join have using (year, month)""")
 def delta_written(spark, sf):
     path = folder(spark, "delta_written")
-    have = audit.have_counts(table(spark, sf, "orders").where("o_orderstatus <> 'P'"), "o_orderdate", None)
+    have = audit.have_counts(_late(spark, sf), "o_orderdate", None)
     sinks.write_delta_csv(audit.audit(audit.expected_counts(_keys(spark, sf), "items/"), have, 5), path)
     return spark.read.schema("year int, month int, expected bigint, have bigint, delta bigint, bad boolean").csv(path, header=True)
 
@@ -378,7 +378,8 @@ def objects_repaired(spark, sf):
     """Items of the inventory that are not published are fetched once; a second run adds none."""
     out = f"{folder(spark, 'objects_repaired')}/items"
     inventory = _keys(spark, sf).select(F.concat(F.lit(L2A.key_root), F.substring_index("key", "/", -7)).alias("key"))
-    published = table(spark, sf, "orders").where("o_orderstatus <> 'F'").select(F.concat(F.lit("o"), c("o_orderkey").cast("string")).alias("id"))
+    name = F.concat(F.lit("o"), c("o_orderkey").cast("string"))
+    published = table(spark, sf, "orders").select(F.when(c("o_orderstatus") != "F", name).alias("id"))
     source = "tilework.round_trips:object_of"
     fetch.repair_months(spark, inventory, published, L2A, [], out, source)
     assert fetch.repair_months(spark, inventory, published, L2A, [], out, source) == 0
