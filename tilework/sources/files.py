@@ -139,6 +139,10 @@ def geo_bbox(key_values: dict) -> list[float] | None:
     return next((c["bbox"] for c in columns.values() if c.get("bbox")), None)
 
 
+#: Arrow starts with so many bytes of a file's end, however short the footer is.
+FOOTER_READ = 64 * 1024
+
+
 class _Tail:
     """A file of which only the end is held: what a footer reader asks for."""
 
@@ -188,7 +192,7 @@ def _footer_through_hadoop(spark: SparkSession, path: str):
 
     try:
         length = int.from_bytes(last(8)[:4], "little")
-        return pq.ParquetFile(pa.PythonFile(_Tail(size, last(min(size, length + 8))), mode="r")).metadata
+        return pq.ParquetFile(pa.PythonFile(_Tail(size, last(min(size, max(length + 8, FOOTER_READ)))), mode="r")).metadata
     finally:
         stream.close()
 
