@@ -148,7 +148,9 @@ def format_trees(
     )
     least = F.min(F.struct("role", "text", "parent", "score")).alias("m")
     kept = scratch.save(rows.groupBy("tree", "node").agg(least).select("tree", "node", "m.*"))
+    messages_at = scratch.last
     chosen = paths(kept.select("tree", "node", "parent", "score"), params, scratch)
+    scratch.sweep(messages_at, scratch.last)
     turns = chosen.join(kept.select("tree", "node", "role", "text"), ["tree", "node"])
     head = F.concat(F.lit(OPEN), escape(F.col("role"), True), F.lit(MIDDLE))
     shown = turns.select(

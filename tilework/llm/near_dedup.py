@@ -413,6 +413,7 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("raw"))
     kind = rows.schema["id"].dataType.simpleString()
     sketched = scratch.save(rows.mapInArrow(_sketch(params), f"id {kind}, raw bigint, digest binary, bands array<bigint>"))
+    sketches = scratch.last
     # Equal digests have equal bands, so any row's will do; copies collapse before the exchange.
     # Null ids come last, so that a class is named by an id if it has one.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "raw")).alias("first")
@@ -519,6 +520,7 @@ def near_duplicates(
             "digest", "class_id", F.col("g.class_id").alias("group_id"), F.col("label").alias("group"), "copies", "verified_links"
         )
     )
+    scratch.sweep(sketches, scratch.last)
     return sketched.select("id", "raw", "digest").join(classed, "digest").select(
         "id", "raw", "digest", "class_id", "group_id", "group", "copies", "verified_links"
     )

@@ -22,20 +22,32 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """A folder of intermediate tables that belongs to one run of one operator."""
+    """A folder of intermediate tables that belongs to one run of one operator.
+
+    An operator sweeps what its result does not read. What the result reads stays until the
+    caller has written the result, and may then sweep it (``made`` lists all folders).
+    """
+
+    made: list["Scratch"] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.made.append(self)
 
     def save(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         """Write ``df`` and return the written table; its lineage ends at the files."""
         return self.load(self.write(df, codec), df)
 
+    @property
+    def last(self) -> str:
+        """The path of the table that was written last."""
+        return f"{self.base}/{self.count:03d}"
+
     def write(self, df: DataFrame, codec: str = "zstd") -> str:
         self.count += 1
-        path = f"{self.base}/{self.count:03d}"
+        path = self.last
         df.write.option("compression", codec).parquet(path)
         return path
 
@@ -46,3 +58,13 @@ class Scratch:
         """Delete a table that no later plan reads."""
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def sweep(self, *kept: str) -> None:
+        """Delete all tables but those at the paths ``kept``."""
+        if not kept:
+            self.drop(self.base)
+            return
+        for k in range(1, self.count + 1):
+            path = f"{self.base}/{k:03d}"
+            if path not in kept:
+                self.drop(path)
