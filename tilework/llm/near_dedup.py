@@ -36,8 +36,8 @@ Plan, in order of size:
    from it, so they meet in an equi-join on a short prefix of those, the shingles that
    few members have coming first: what many have in common (a passage, a template)
    brings two members together only if they may share enough beside it;
-6. verification computes the similarity from both whole texts. A text that many others
-   are verified against is met by joins that can be split (adaptive skew joins).
+6. verification computes the similarity from both whole texts. The pairs of a text that
+   many others are verified against are dealt out over all tasks, each with a copy of it.
 
 Families of near-copies thus cost their members times the bands, not their square.
 Steps 4 and 5 lose no link of a bucket. Among members of uneven counts that hold little
@@ -251,9 +251,9 @@ DIFFERENCES = (
 )
 #: Roles of a difference shingle: of a member linked to the anchor, of one that is not, and of one against its like.
 LINKED, OTHER, OTHERS = 0, 1, 2
-#: Kinds of row: a shingle in which a member differs from the anchor (LINKED or OTHER); for pairs with uneven counts,
-#: a member with little beside the anchor, and a shingle beside it.
-NEAR, BESIDE = 3, 4
+#: Kinds of row: a shingle in which a member differs from the anchor (LINKED or OTHER; with a weight where it is beside
+#: the anchor), and, for pairs with uneven counts, a member with little beside the anchor.
+NEAR = 3
 
 
 def difference_prefixes(p: np.ndarray, x: np.ndarray, threshold: float) -> tuple[int, list[tuple[int, np.ndarray]]]:
@@ -311,19 +311,17 @@ def _differences(params: NearParams):
         (kind, prefix), *other = found
         need = size - len(prefix) + 1
         like = size - len(other[0][1]) + 1 if other else None
-        extra, missing = np.setdiff1d(y[0], x[0], assume_unique=True), np.setdiff1d(x[0], y[0], assume_unique=True)
-        tokens = np.concatenate([extra, _mix(missing)])  # mixed: a missing shingle is not the same as an extra one
-        rows = [] if min(need, like or need) > size else [
-            (a, b, label, kind, t, size, len(y[0]), need, like, None, None, None, None) for t in tokens.view(np.int64).tolist()
-        ]
         odd = uneven(y)
-        distance, beside, tokens, weights = beside_anchor(x, y)
+        distance, beside, extra, weights = beside_anchor(x, y)
+        tokens = list(zip(extra.view(np.int64).tolist(), weights.tolist(), strict=True))
+        if min(need, like or need) <= size:
+            # Mixed: a missing shingle is not the same as an extra one.
+            tokens += [(t, None) for t in _mix(np.setdiff1d(x[0], y[0], assume_unique=True)).view(np.int64).tolist()]
+        else:  # it shares too little with any that it is not in one component with
+            need = like = None
+        rows = [(a, b, label, kind, t, size, len(y[0]), need, like, odd, distance, beside, w) for t, w in tokens]
         if beside <= 1 - params.similarity + 1e-9:
             rows.append((a, b, label, NEAR, 0, None, None, None, None, odd, distance, beside, None))
-        rows += [
-            (a, b, label, BESIDE, t, None, None, None, None, odd, distance, beside, weight)
-            for t, weight in zip(tokens.view(np.int64).tolist(), weights.tolist(), strict=True)
-        ]
         return rows
 
     names = ["a", "b", "label", "kind", "token", "size", "words", "need", "like", "uneven", "distance", "beside", "weight"]
@@ -359,7 +357,7 @@ def _may_share_enough(threshold: float) -> str:
 
 
 def rare_first(beside: DataFrame, threshold: float) -> DataFrame:
-    """The BESIDE rows under which members must be filed, with ``rest``: the weight from the shingle on, rare ones first.
+    """The rows beside the anchor under which members must be filed, with ``rest``: the weight from the shingle on, rare ones first.
 
     Shingles of one member, or of even ones only, make no pair; they come first or do
     not count, so they may go before the rests are summed.
@@ -370,10 +368,10 @@ def rare_first(beside: DataFrame, threshold: float) -> DataFrame:
     return kept.withColumn("rest", F.sum("weight").over(behind)).where(f"rest >= beside - {1 - threshold!r}D - 1e-9D")
 
 
-def _may_be_alike(threshold: float, role: int) -> str:
+def _may_be_alike(threshold: float, near: bool) -> str:
     """The conditions of ``beside_anchor`` on a meeting by the anchor, or in a shingle beside it."""
     far = f"abs(distance - ydistance) <= {1 - threshold!r}D + 1e-9D"
-    if role == NEAR:
+    if near:
         return far
     most = "greatest(beside, ybeside)"
     return f"{far} and {most} > {1 - threshold!r}D + 1e-9D and least(rest, yrest) >= {most} - {1 - threshold!r}D - 1e-9D"
@@ -387,14 +385,14 @@ def meetings(filed: DataFrame, params: NearParams, scratch: Scratch) -> DataFram
         met = own.where(left).join(other, ["a", "token"]).where(f"label <> ylabel and {condition}")
         return met.select(F.col("b").alias("a"), F.col("yb").alias("b"))
 
-    own = rare_differences(filed.where(F.col("kind").isin(LINKED, OTHER)))
+    own = rare_differences(filed.where(f"kind <> {NEAR} and need is not null"))
     own = scratch.save(own.select("a", "token", "b", "label", "kind", "size", "words", "need", "like", "left"))
     out = paired(own, f"kind = {OTHER}", _may_share_enough(params.similarity))
-    for kind in (NEAR, BESIDE):  # a member of uneven counts with any other
-        own = filed.where(F.col("kind") == kind)
-        own = scratch.save(rare_first(own, params.similarity)) if kind == BESIDE else own.withColumn("rest", F.lit(1.0))
+    # A member of uneven counts with any other: by a shingle beside the anchor, or by the anchor itself.
+    beside = scratch.save(rare_first(filed.where("weight is not null"), params.similarity))
+    for near, own in ((False, beside), (True, filed.where(F.col("kind") == NEAR).withColumn("rest", F.lit(1.0)))):
         own = own.select("a", "token", "b", "label", "uneven", "distance", "beside", "rest")
-        out = out.unionByName(paired(own, "uneven", f"(b < yb or not yuneven) and {_may_be_alike(params.similarity, kind)}"))
+        out = out.unionByName(paired(own, "uneven", f"(b < yb or not yuneven) and {_may_be_alike(params.similarity, near)}"))
     return out
 
 
@@ -446,10 +444,14 @@ def near_duplicates(
         .dropDuplicates(["digest"])
     )
 
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def with_texts(pairs: DataFrame, *more: str) -> DataFrame:
-        left = texts.select(F.col("digest").alias("a"), F.col("text").alias("ta"))
+        """Pairs with both texts; the pairs of one ``a`` are dealt out over all tasks, each of which gets one copy of its text."""
+        dealt = pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(parts)))
+        left = dealt.select("a", "chunk").distinct().join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
         right = texts.select(F.col("digest").alias("b"), F.col("text").alias("tb"))
-        return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb", *more)
+        return dealt.join(right, "b").join(left, ["a", "chunk"]).select("a", "b", "ta", "tb", *more)
 
     tested, links, labels = None, None, None
 
