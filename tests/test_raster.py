@@ -65,3 +65,27 @@ def test_utm_and_warp():
     data = np.arange(100 * 100, dtype=np.float32).reshape(100, 100)
     out = raster.warp_plane(data, (499500, 5761538), (10, -10), 32632, (8.995, 51.997, 9.005, 52.003), (40, 40))
     assert out.shape == (40, 40) and np.isfinite(out[15:25, 15:25]).all()
+
+
+def test_warp_as_a_column(spark):
+    """Each row against its own positions: projected pixel by pixel, without the control grid."""
+    rng = np.random.default_rng(3)
+    grid = rng.integers(1, 200, (40, 60)).astype(np.float32)
+    east, north = raster.utm(np.array([9.0]), np.array([45.0]), 32, False)
+    origin, step = (float(east[0]) - 3000, float(north[0]) + 2000), (100.0, -100.0)
+    bounds, size = (8.97, 44.985, 9.03, 45.015), (24, 18)
+    rows = [(1, grid.reshape(-1).tolist(), [40, 60], list(origin), list(step), 32632), (2, None, [0, 0], list(origin), list(step), 32632)]
+    df = spark.createDataFrame(rows, "i int, samples array<float>, shape array<int>, origin array<double>, step array<double>, epsg int")
+    c = F.col
+    got = {r.i: r.p for r in df.select("i", raster.warp(c("samples"), c("shape"), c("origin"), c("step"), c("epsg"), bounds, size, 4).alias("p")).collect()}
+    assert got[2] is None and len(got[1]) == 24 * 18
+    lon = np.linspace(bounds[0], bounds[2], 25)[:-1] + (bounds[2] - bounds[0]) / 48
+    lat = np.linspace(bounds[3], bounds[1], 19)[:-1] - (bounds[3] - bounds[1]) / 36
+    x, y = raster.utm(*np.meshgrid(lon, lat), 32, False)
+    px, py = (x - origin[0]) / step[0], (y - origin[1]) / step[1]
+    for k, v in enumerate(got[1]):
+        i, j = px.reshape(-1)[k], py.reshape(-1)[k]
+        if min(i % 1, 1 - i % 1, j % 1, 1 - j % 1) < 0.01:
+            continue  # on the border of two samples
+        inside = 0 <= i < 60 and 0 <= j < 40
+        assert v == (grid[int(j), int(i)] if inside else None)

@@ -102,6 +102,10 @@ def window_level(levels: DataFrame, part: list[str], want: Column) -> DataFrame:
     return levels.groupBy(*part).agg(F.coalesce(F.max_by("level", ok), F.min_by("level", F.col("scale"))).alias("level"))
 
 
+# Channel levels of a flat black or white pixel, and of one that is near to it.
+BLACK, NEAR_BLACK, WHITE, NEAR_WHITE = 0, 24, 250, 235
+
+
 def nodata_mask(pixels: DataFrame, part: list[str], white: bool = False) -> DataFrame:
     """``part, x, y`` of masked pixels: those of exactly the flat colour, and near ones next to such a pixel.
 
@@ -110,8 +114,8 @@ def nodata_mask(pixels: DataFrame, part: list[str], white: bool = False) -> Data
     """
     channels = [F.col(c) for c in "rgb"]
     every = lambda f: f(channels[0]) & f(channels[1]) & f(channels[2])
-    exact = every(lambda c: c >= 250) if white else every(lambda c: c == 0)
-    near = every(lambda c: c >= 235) if white else every(lambda c: c <= 24)
+    exact = every(lambda c: c >= WHITE) if white else every(lambda c: c == BLACK)
+    near = every(lambda c: c >= NEAR_WHITE) if white else every(lambda c: c <= NEAR_BLACK)
     around = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     grown = (
         pixels.where(exact)
@@ -231,7 +235,8 @@ def warp_plane(samples: np.ndarray, origin, resolution, epsg: int, bounds, size,
     """A north-up UTM raster resampled to a longitude-latitude raster: nearest sample, NaN outside.
 
     Positions are projected on a control grid about ``cell`` pixels apart and
-    interpolated between its nodes.
+    interpolated between its nodes, the usual approximate transform of warping tools
+    (Wolberg, Digital Image Warping, 1990, on mesh warping).
     """
     width, height = size
     west, south, east, north = bounds
@@ -253,3 +258,25 @@ def warp_plane(samples: np.ndarray, origin, resolution, epsg: int, bounds, size,
     out = np.full((height, width), np.nan, np.float32)
     out[ok] = samples[py[ok], px[ok]]
     return out
+
+
+def warp(samples: Column, shape: Column, origin: Column, resolution: Column, epsg: Column, bounds, size, cell: int = 16) -> Column:
+    """``warp_plane`` of each row: array of the pixels of a longitude-latitude raster, row by row, null outside.
+
+    ``samples`` is an array, row by row; ``shape`` (height, width), ``origin`` and
+    ``resolution`` (x, y) are arrays of two. A row without samples gives a null.
+    """
+
+    @F.arrow_udf("array<float>")
+    def warped(planes: pa.Array, shapes: pa.Array, origins: pa.Array, steps: pa.Array, codes: pa.Array) -> pa.Array:
+        out = []
+        for plane, shape, origin, step, code in zip(*(x.to_pylist() for x in (planes, shapes, origins, steps, codes)), strict=True):
+            if not plane:
+                out.append(None)
+                continue
+            grid = np.array([np.nan if v is None else v for v in plane], np.float32).reshape(shape)
+            pixels = warp_plane(grid, origin, step, code, bounds, size, cell).reshape(-1)
+            out.append([None if np.isnan(v) else float(v) for v in pixels])
+        return pa.array(out, pa.list_(pa.float32()))
+
+    return warped(samples, shape, origin, resolution, epsg)
