@@ -37,7 +37,7 @@ Plan, in order of size:
    few members have coming first: what many have in common (a passage, a template)
    brings two members together only if they may share enough beside it;
 6. verification computes the similarity from both whole texts. The pairs of a text that
-   many others are verified against are dealt out over all tasks, each with a copy of it.
+   many others are verified against are dealt out in ``chunks``, each with a copy of it.
 
 Families of near-copies thus cost their members times the bands, not their square.
 Steps 4 and 5 lose no link of a bucket. Among members of uneven counts that hold little
@@ -78,6 +78,7 @@ class NearParams:
     anchor_rounds: int = 2
     small: int = 8
     hot_share: int = 10_000  # a key with more than one in so many of all band rows is hot; at most so many keys are
+    chunks: int = 8  # so many copies of a text at most go to the pairs it is the first of
     seed: int = 7
 
     @property
@@ -444,11 +445,9 @@ def near_duplicates(
         .dropDuplicates(["digest"])
     )
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def with_texts(pairs: DataFrame, *more: str) -> DataFrame:
-        """Pairs with both texts; the pairs of one ``a`` are dealt out over all tasks, each of which gets one copy of its text."""
-        dealt = pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(parts)))
+        """Pairs with both texts; the pairs of one ``a`` are dealt out in ``chunks``, each with a copy of its text."""
+        dealt = pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(params.chunks)))
         left = dealt.select("a", "chunk").distinct().join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
         right = texts.select(F.col("digest").alias("b"), F.col("text").alias("tb"))
         return dealt.join(right, "b").join(left, ["a", "chunk"]).select("a", "b", "ta", "tb", *more)
