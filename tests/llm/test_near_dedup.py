@@ -275,3 +275,35 @@ def test_clashing_columns_long_texts_and_ties(spark):
     assert got == {1: (1, 1, 1), 2: (1, 2, 1), 3: (3, 3, 3), 4: (3, 3, 3)}
     kept = nd.keep_representatives(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_both_shares_bound_probability_jaccard():
+    rng = random.Random(12)
+    for _ in range(400):
+        draw = lambda: {t: rng.choice([1, 1, 2, 7, 40]) for t in rng.sample(range(30), rng.randint(1, 25))}
+        x, y = draw(), draw()
+        u, v = (sum(n for t, n in a.items() if t not in b) / sum(a.values()) for a, b in ((x, y), (y, x)))
+        arrays = [(np.array(sorted(a), np.uint64), np.array([a[t] for t in sorted(a)], float)) for a in (x, y)]
+        if max(u, v) < 1:
+            assert nd.probability_jaccard(*arrays) <= 1 / (1 + u / (1 - u) + v / (1 - v)) + 1e-12
+
+
+def test_members_of_uneven_counts_do_not_all_meet_by_their_anchor(spark):
+    """Members with words of their own beside a common line, linked to their anchor or not: only those alike are paired."""
+    from tilework.llm.scratch import Scratch
+
+    line = [f"l{i}" for i in range(5)] * 40
+    texts = [" ".join(line + [f"a{i}" for i in range(20)])]
+    texts += [" ".join(line + [f"m{k}w{i}" for i in range((22, 34, 26, 42)[k % 4])]) for k in range(200)]
+    texts += [texts[k] + f" more{k}" for k in range(2, 42, 4)]  # ten links
+    sets = [nd.shingles(nd.words_of(t), 5) for t in texts]
+    linked = [nd.similarity(sets[0], s) >= 0.8 for s in sets]
+    assert 90 < sum(linked) < 120
+    rows = [(b"%04d" % 0, b"%04d" % k, texts[0], texts[k], b"%04d" % (0 if linked[k] else k)) for k in range(1, len(texts))]
+    params = nd.NearParams()
+    filed = spark.createDataFrame(rows, "a binary, b binary, ta string, tb string, label binary").mapInArrow(nd._differences(params), nd.DIFFERENCES)
+    met = nd.meetings(filed.cache(), params, Scratch(spark, "test")).collect()
+    pairs = {tuple(sorted((int(bytes(r.a)), int(bytes(r.b))))) for r in met}
+    open_ = [p for p in itertools.combinations(range(1, len(texts)), 2) if not (linked[p[0]] and linked[p[1]])]
+    links = {(x, y) for x, y in open_ if nd.similarity(sets[x], sets[y]) >= 0.8}
+    assert len(links) == 10 and links <= pairs and len(pairs) < len(texts)

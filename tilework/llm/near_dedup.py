@@ -40,9 +40,10 @@ Plan, in order of size:
    many others are verified against are dealt out in ``chunks``, each with a copy of it.
 
 Families of near-copies thus cost their members times the bands, not their square.
-Steps 4 and 5 lose no link of a bucket. Among members of uneven counts that hold little
-beside the anchor step 5 tests every pair of different components whose distances to it
-differ by no more than a link allows.
+Steps 4 and 5 lose no link of a bucket. Step 5 tests every pair of different components
+that its bounds leave; a family whose members are all just short of a link still has the
+square of them. Among members of uneven counts those are pairs that together hold no more
+beside the anchor than a link allows, and whose distances to it differ by no more.
 
 Defined results: null text counts as empty. Texts without a word have one class for
 each distinct text. Texts with fewer words than a shingle are one shingle. A class
@@ -293,12 +294,20 @@ def beside_anchor(p: tuple, x: tuple) -> tuple[float, float, np.ndarray, np.ndar
 
         s >= max(bx, by) - (1 - t).
 
-    If that is positive they meet in their first common shingle beside p, in any common
-    order; with it and behind it either still has a weight (``rest``) of s. Rare shingles
-    come first (see ``rare_first``). If bx and by are both at most
-    1 - t, the pair meets by the anchor itself; since J_P is the probability that two
-    samples agree, 1 - J_P is a metric, and the distances of x and y to p differ by at
-    most 1 - t.
+    Both shares count at once: a sample of x is the shingle d with the earliest of arrivals
+    E_d / x_d. Let u and v be the weights of x and y on shingles that the other lacks. The
+    samples can agree only if the common shingles arrive first in both, at Cx ~ Exp(1 - u)
+    and Cy ~ Exp(1 - v). The rest are independent of those and of each other, so that has
+    the probability E exp(-u Cx - v Cy), which is largest where Cx and Cy rise together:
+
+        J_P(x, y) <= 1 / (1 + odds(u) + odds(v)),  odds(u) = u / (1 - u).
+
+    So odds(bx) + odds(by) <= 1 / t - 1, or they meet in their first common shingle beside
+    p, in any common order. With it and behind it x has a weight of ``rest``, so u is at
+    least bx - rest, which must satisfy the same. Rare shingles come first (see
+    ``rare_first``). In the first case the pair meets by the anchor itself. Since J_P is the
+    probability that two samples agree, 1 - J_P is a metric, and the distances of x and y to
+    p differ by at most 1 - t; and one of them is not linked to p.
     """
     extra = ~np.isin(x[0], p[0], assume_unique=True)
     weight = x[1][extra] / x[1].sum()
@@ -330,6 +339,13 @@ def _differences(params: NearParams):
     return _pairs(params, row, names, [*kinds, pa.bool_(), pa.float64(), pa.float64(), pa.float64()])
 
 
+def shared_shingles(filed: DataFrame, wanted: str) -> DataFrame:
+    """The rows whose shingle several members of the anchor have, one of them ``wanted``, with ``n``: how many have it."""
+    own = W.partitionBy("a", "token")
+    counted = filed.withColumn("n", F.count("*").over(own)).withColumn("any", F.max(F.expr(wanted)).over(own))
+    return counted.where("n > 1 and any").drop("any")
+
+
 def rare_differences(filed: DataFrame) -> DataFrame:
     """Difference rows under which members must be filed, with ``left``: how many of a member's are left from this one on.
 
@@ -337,8 +353,7 @@ def rare_differences(filed: DataFrame) -> DataFrame:
     first. Those of one member alone, or of linked members only, make no pair, so they are
     left out before the rest are counted: what a pair shares is among those that stay.
     """
-    met = filed.groupBy("a", "token").agg(F.count("*").alias("n"), F.max("kind").alias("any")).where(f"n > 1 and any = {OTHER}")
-    kept = filed.join(met, ["a", "token"])
+    kept = shared_shingles(filed, f"kind = {OTHER}")
     behind = W.partitionBy("a", "b").orderBy(F.desc("n"), F.desc("token")).rowsBetween(W.unboundedPreceding, W.currentRow)
     return kept.withColumn("left", F.count("*").over(behind)).where("left >= least(need, coalesce(like, need))")
 
@@ -363,19 +378,30 @@ def rare_first(beside: DataFrame, threshold: float) -> DataFrame:
     Shingles of one member, or of even ones only, make no pair; they come first or do
     not count, so they may go before the rests are summed.
     """
-    met = beside.groupBy("a", "token").agg(F.count("*").alias("n"), F.max("uneven").alias("any"))
-    kept = beside.join(met.where("n > 1 and any"), ["a", "token"])
+    kept = shared_shingles(beside, "uneven")
     behind = W.partitionBy("a", "b").orderBy(F.desc("n"), F.desc("token")).rowsBetween(W.unboundedPreceding, W.currentRow)
     return kept.withColumn("rest", F.sum("weight").over(behind)).where(f"rest >= beside - {1 - threshold!r}D - 1e-9D")
 
 
+def near_anchor(near: DataFrame, threshold: float) -> DataFrame:
+    """The NEAR rows that may make a pair by the anchor: with a member of uneven counts, and with one not linked to it."""
+    odds = "beside / (1 - beside)"
+    far = F.min(F.expr(f"case when distance > {1 - threshold!r}D - 1e-9D then {odds} end")).alias("far")
+    anchors = near.groupBy("a").agg(far, F.max("uneven").alias("any")).where("any and far is not null").drop("any")
+    least = f"distance > {1 - threshold!r}D - 1e-9D or {odds} + far <= {1 / threshold - 1!r}D + 1e-9D"
+    return near.join(anchors, "a").where(least).drop("far")
+
+
 def _may_be_alike(threshold: float, near: bool) -> str:
     """The conditions of ``beside_anchor`` on a meeting by the anchor, or in a shingle beside it."""
-    far = f"abs(distance - ydistance) <= {1 - threshold!r}D + 1e-9D"
+    most = f"{1 / threshold - 1!r}D"
+    far = f"abs(distance - ydistance) <= {1 - threshold!r}D + 1e-9D and greatest(distance, ydistance) > {1 - threshold!r}D - 1e-9D"
     if near:
-        return far
-    most = "greatest(beside, ybeside)"
-    return f"{far} and {most} > {1 - threshold!r}D + 1e-9D and least(rest, yrest) >= {most} - {1 - threshold!r}D - 1e-9D"
+        return f"{far} and beside / (1 - beside) + ybeside / (1 - ybeside) <= {most} + 1e-9D"
+    # Multiplied out: a member may share nothing with the anchor. Its rows have beside - rest <= 1 - threshold.
+    by_token = f"beside * (1 - ybeside) + ybeside * (1 - beside) >= {most} * (1 - beside) * (1 - ybeside) - 1e-9D"
+    u, v = "greatest(0D, beside - rest)", "greatest(0D, ybeside - yrest)"
+    return f"{far} and {by_token} and {u} / (1 - {u}) + {v} / (1 - {v}) <= {most} + 1e-9D"
 
 
 def meetings(filed: DataFrame, params: NearParams, scratch: Scratch) -> DataFrame:
@@ -391,7 +417,7 @@ def meetings(filed: DataFrame, params: NearParams, scratch: Scratch) -> DataFram
     out = paired(own, f"kind = {OTHER}", _may_share_enough(params.similarity))
     # A member of uneven counts with any other: by a shingle beside the anchor, or by the anchor itself.
     beside = scratch.save(rare_first(filed.where("weight is not null"), params.similarity))
-    for near, own in ((False, beside), (True, filed.where(F.col("kind") == NEAR).withColumn("rest", F.lit(1.0)))):
+    for near, own in ((False, beside), (True, near_anchor(filed.where(F.col("kind") == NEAR), params.similarity).withColumn("rest", F.lit(1.0)))):
         own = own.select("a", "token", "b", "label", "uneven", "distance", "beside", "rest")
         out = out.unionByName(paired(own, "uneven", f"(b < yb or not yuneven) and {_may_be_alike(params.similarity, near)}"))
     return out
